@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.drift import schema_changes, unified
-from tidemark.operators.moments import choose_clocks, read_moment, resolve, zone_evidence
+from tidemark.operators.moments import choose_clocks, read_moments, resolve, zone_evidence
 from tidemark.operators.packed import ADDRESS_DELIMITERS, unpack
 from tidemark.operators.rolling import trailing
-from tidemark.session import small, table
+from tidemark.session import durable, small, table
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,8 +110,10 @@ def _readings(spark: SparkSession, sf: str) -> DataFrame:
         F.col("run_at").cast("timestamp").alias("seen"),
     )
     rows = modal.unionByName(serp).join(clocks, "source", "left")
-    moment = read_moment(F.col("text"), F.col("run_at"), F.col("day_first"))
-    return rows.select("table_name", "row_id", "source", moment.alias("m"), "seen").filter("m is not null")
+    read = read_moments(rows, "text", "run_at", "day_first")
+    # The evidence and the conversion both need the readings; the texts are taken apart once.
+    # No filter on ``m`` before the cut: the optimizer would push it, and with it the whole reading, below the projections.
+    return durable(read.select("table_name", "row_id", "source", "m", "seen"))
 
 
 def _clocks(spark: SparkSession, sf: str, readings: DataFrame) -> DataFrame:

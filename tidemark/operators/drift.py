@@ -53,7 +53,7 @@ def fields(df: DataFrame, keep: list[str], payload: str = "payload") -> DataFram
     """
     obj = df.select(*keep, F.try_parse_json(F.col(payload)).alias("doc")).filter(F.schema_of_variant("doc").startswith("OBJECT"))
     # A map of the object's members keeps this a narrow projection.
-    members = obj.select(*keep, F.explode(F.col("doc").try_cast("map<string,variant>")).alias("name", "v"))
+    members = obj.select(*keep, F.explode_outer(F.col("doc").try_cast("map<string,variant>")).alias("name", "v")).filter("name is not null")
     out = members.select(*keep, F.lower("name").alias("field"), "name", "v")
     kind = _kind(F.col("v"))
     nested = F.regexp_extract_all(F.schema_of_variant("v"), F.lit(r"[<,] ?([A-Za-z_][\w]*): "), F.lit(1))
@@ -246,7 +246,7 @@ def _changes(df: DataFrame, line_key: Column | None, min_agree: float, min_share
         _select(min_agree, min_shared), "file_id bigint, field_name string, old_name string, score double"
     )
     renames = renamed.select("file_id", F.lit("renamed").alias("change_kind"), "field_name", "old_name")
-    ends = renames.select("file_id", F.explode(F.array("field_name", "old_name")).alias("field"))
+    ends = renames.select("file_id", F.explode_outer(F.array("field_name", "old_name")).alias("field"))
     single = moved.join(ends, ["file_id", "field"], "left_anti").select(
         "file_id",
         F.when(F.col("before").isNull(), "added").otherwise("removed").alias("change_kind"),
@@ -302,7 +302,7 @@ def unified(df: DataFrame, columns: dict[str, str], line_key: Column | None = No
     facts = fields(lines, ["file_id", "line_no"]).join(names, ["file_id", "field"], "left")
     text = F.when(
         (F.col("kind") == "object") & (F.size("nested") == 1),
-        F.element_at(F.map_values(F.from_json("val", "map<string,string>")), 1),
+        F.try_element_at(F.map_values(F.from_json("val", "map<string,string>")), F.lit(1)),
     ).otherwise(F.col("val"))
     facts = facts.select(
         "file_id", "line_no", F.coalesce("canonical", "field").alias("field"), F.when(F.col("kind").isNotNull(), text).alias("val")

@@ -33,7 +33,7 @@ def _unquote(span: Column, json_cell: Column) -> Column:
     """The text of a quoted span; JSON cells follow JSON's escapes, others know doubled and backslashed quotes."""
     inner = F.substring(span, F.lit(2), F.length(span) - 2)
     plain = F.regexp_replace(F.replace(inner, F.lit('""'), F.lit('"')), r'\\(["\\])', "$1")
-    parsed = F.element_at(F.from_json(F.concat(F.lit("["), span, F.lit("]")), "array<string>"), 1)
+    parsed = F.try_element_at(F.from_json(F.concat(F.lit("["), span, F.lit("]")), "array<string>"), F.lit(1))
     return F.when(json_cell & parsed.isNotNull(), parsed).otherwise(plain)
 
 
@@ -102,6 +102,6 @@ def unpack(
     Columns of ``df`` that bear the result's names do no harm.
     """
     picked = df.select(F.col(key).cast("string").alias("row_key"), F.col(field).alias("cell"))
-    return picked.select("row_key", F.posexplode(split_values(F.col("cell"), delimiters)).alias("pos", "val")).select(
-        F.lit(field_name or field).alias("field_name"), "row_key", "pos", "val"
-    )
+    # The outer form: the inner one would split every cell a second time, in a filter that the optimizer infers.
+    values = picked.select("row_key", F.posexplode_outer(split_values(F.col("cell"), delimiters)).alias("pos", "val"))
+    return values.filter("pos is not null").select(F.lit(field_name or field).alias("field_name"), "row_key", "pos", "val")

@@ -137,7 +137,7 @@ def trailing(
     block = F.floor((F.col("day") - F.col("first")) / BLOCK_DAYS).cast("int")
     into = F.floor((F.col("day") + halo - F.col("first")) / BLOCK_DAYS).cast("int")
     final = F.floor((F.col("last") - F.col("first")) / BLOCK_DAYS).cast("int")
-    spread = joined.withColumn("block", F.explode(F.sequence(block, F.least(into, final)))).select(
+    spread = joined.withColumn("block", F.explode_outer(F.sequence(block, F.least(into, final)))).select(
         *k,
         "block",
         "day",
@@ -150,7 +150,7 @@ def trailing(
     seeds = (
         reach.select(
             *(F.col(f"r_{c}").alias(c) for c in k),
-            F.explode(F.sequence(F.lit(0), F.floor((F.col("last") - F.col("first")) / BLOCK_DAYS).cast("int"))).alias("block"),
+            F.explode_outer(F.sequence(F.lit(0), F.floor((F.col("last") - F.col("first")) / BLOCK_DAYS).cast("int"))).alias("block"),
             "first",
             "last",
         )

@@ -1 +1 @@
-"""See the package documentation."""
+"""Readers and writers of the feeds the engine knows."""

@@ -1 +1 @@
-"""See the package documentation."""
+"""Streaming forms of the daily operators."""

@@ -85,8 +85,9 @@ def aggregate_key(name: Column, aliases: dict[str, str] | None = None) -> Column
         table = F.create_map(*(F.lit(x) for k, v in aliases.items() for x in (k, v)))
         text = F.coalesce(F.try_element_at(table, F.lower(text)), text)
     out = text
+    # one reference to the inner expression a step, so the chain stays linear
     for tail in AGGREGATE_TAILS:
-        out = F.when(F.endswith(out, F.lit(tail)), F.trim(F.left(out, F.length(out) - len(tail)))).otherwise(out)
+        out = F.trim(F.regexp_replace(out, tail.replace(".", r"\.") + "$", ""))
     out = _collapsed(F.regexp_replace(out, r"[^\p{L}\p{N}_\s]", ""))
     return F.when(text == "nan", "").otherwise(out)
 

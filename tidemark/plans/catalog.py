@@ -1,6 +1,6 @@
 """All queries outside the subpackage ``llm`` and their SQL."""
 
-from tidemark.plans import preparation
+from tidemark.plans import preparation, reference
 
-QUERIES = {**preparation.QUERIES}
-ORACLES = {**preparation.ORACLES}
+QUERIES = {**reference.QUERIES, **preparation.QUERIES}
+ORACLES = {**reference.ORACLES, **preparation.ORACLES}

@@ -75,7 +75,7 @@ def titled(df: DataFrame, key: str, title: str, publisher: str | None, sources:
     the whole headline is in one case; ``cut`` says that its end was cut off. A
     publisher is the row's own or one of ``sources`` (``source``), a bounded list.
     """
-    t = squeeze(unescape_html(F.col(title)))
+    t = squeeze(unescape_html(F.coalesce(F.col(title), F.lit(""))))
     base = df.select(F.col(key).alias("id"), t.alias("t"), (F.col(publisher) if publisher else F.lit(None).cast("string")).alias("pub"))
     tail = F.lower(F.trim(F.regexp_extract("t", r"^.*\s[-–—|·]\s*([^|]{2,60})$", 1)))
     base = base.withColumn("tail", tail)
@@ -108,8 +108,8 @@ def titled(df: DataFrame, key: str, title: str, publisher: str | None, sources:
 
 
 def choose_pivots(titles: DataFrame, k: int = PIVOTS) -> list[str]:
-    """``k`` fixed titles, those with the least hashes: the same for the same history."""
-    rows = titles.select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(k).collect()
+    """``k`` fixed titles, those with the least hashes: the same for the same history. Empty titles are no pivots."""
+    rows = titles.filter("text != ''").select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(k).collect()
     return [r.text for r in rows]
 
 
@@ -169,20 +169,33 @@ def _near(a: DataFrame, b: DataFrame) -> DataFrame:
     return joined.filter(ok).select(F.col("node").alias("node_a"), "node_b").distinct()
 
 
-def _cut_off(cut: DataFrame, whole: DataFrame) -> DataFrame:
-    """``(node_a, node_b)``: a title whose end was cut off, and one that goes on where it stops."""
+def _cut_pairs(cut: DataFrame, whole: DataFrame) -> DataFrame:
+    """``(node_a, node_b, turn_b)``: titles whose end was cut off, and titles that go on where they stop."""
     n = F.size("words")
     # The last word of a cut title may be cut itself: the words before it must be equal.
     short = cut.filter("cut").filter(n >= MIN_CUT).select(
         F.col("node").alias("node_a"), (n - 1).alias("upto"), F.xxhash64(F.array_join(F.slice("words", 1, n - 1), " ")).alias("head"), F.try_element_at("words", F.lit(-1)).alias("last")
     )
     upto = F.explode_outer(F.sequence(F.greatest(n - 1 - MAX_LOST, F.lit(MIN_CUT - 1)), n - 1))
-    long = whole.filter(n >= MIN_CUT).select("node", "words", "cut", upto.alias("upto"))
+    long = whole.filter(n >= MIN_CUT).select("node", "turn0", "words", upto.alias("upto"))
     long = long.select(
-        F.col("node").alias("node_b"), "upto", F.xxhash64(F.array_join(F.slice("words", 1, F.col("upto")), " ")).alias("head"), F.try_element_at("words", F.col("upto") + 1).alias("word")
+        F.col("node").alias("node_b"),
+        F.col("turn0").alias("turn_b"),
+        "upto",
+        F.xxhash64(F.array_join(F.slice("words", 1, F.col("upto")), " ")).alias("head"),
+        F.try_element_at("words", F.col("upto") + 1).alias("word"),
     )
     same = F.when(F.col("last").rlike(r"\p{N}"), F.col("last") == F.col("word")).otherwise(F.col("word").startswith(F.col("last")))
-    return short.join(long, ["upto", "head"]).filter((F.col("node_a") != F.col("node_b")) & same).select("node_a", "node_b").distinct()
+    return short.join(long, ["upto", "head"]).filter((F.col("node_a") != F.col("node_b")) & same).select("node_a", "node_b", "turn_b")
+
+
+def _cut_off(cut: DataFrame, whole: DataFrame) -> DataFrame:
+    """``(node_a, node_b)``: a title whose end was cut off, and the earliest title that it can be the beginning of.
+
+    Only the earliest: what was cut may have told two stories apart, and a cut title must not join them.
+    """
+    first = _cut_pairs(cut, whole).groupBy("node_a").agg(F.min(F.struct("turn_b", "node_b")).alias("b"))
+    return first.select("node_a", F.col("b.node_b").alias("node_b"))
 
 
 def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -242,7 +255,11 @@ def _links(new: DataFrame, every: DataFrame, new_rows: DataFrame, every_rows: Da
     by_link = shared.join(hub, "link").select(F.col("hub").alias("node_a"), F.col("node").alias("node_b")).filter("node_a != node_b")
     a, b = new.filter("text != ''"), every.filter("text != ''")
     out = by_link.unionByName(_near(a, b)).unionByName(_cut_off(a, b))
-    return out if new is every else out.unionByName(_cut_off(b, a))
+    if new is every:
+        return out
+    # Cut titles of the history that a new title continues: their earliest partner may be an old one.
+    waiting = b.join(_cut_pairs(b, a).select(F.col("node_a").alias("node")).distinct(), "node", "left_semi")
+    return out.unionByName(_cut_off(waiting, b))
 
 
 def story_groups(index: DataFrame) -> DataFrame:

@@ -57,12 +57,13 @@ def one_edit(a: Column, b: Column) -> Column:
 
 
 def reference_tokens(entries: DataFrame) -> DataFrame:
-    """``(token, entry, idf, head, kind)`` of the reference list.
+    """``(token, entry, idf, head, later)`` of the reference list.
 
     ``entries`` has ``id, name, ticker, hosts`` (array of host names). ``head`` marks
     an entry's distinguishing token, its rarest word (the first on a tie); the
     other words of a name tell entries with one head apart. Words of legal form
-    are left out unless a name has no others.
+    are left out unless a name has no others. ``later`` marks words that are not
+    the first of a name: these are the ones that people abbreviate.
     """
     legal = F.array(*map(F.lit, LEGAL))
     base = entries.select("id", "name", "ticker", "hosts", name_tokens(F.col("name")).alias("all_tokens"))
@@ -74,8 +75,8 @@ def reference_tokens(entries: DataFrame) -> DataFrame:
     scored = flat.join(df, "token").crossJoin(F.broadcast(total))
     scored = scored.withColumn("idf", F.log(1 + F.col("entries") / F.col("df")))
     rarest = Window.partitionBy("id").orderBy("df", "at")
-    words = scored.withColumn("head", F.row_number().over(rarest) == 1).select("token", F.col("id").alias("entry"), "idf", "head", F.lit("word").alias("kind"))
-    return words.groupBy("token", "entry", "kind").agg(F.max("idf").alias("idf"), F.max("head").alias("head"))
+    words = scored.withColumn("head", F.row_number().over(rarest) == 1).select("token", F.col("id").alias("entry"), "idf", "head", (F.col("at") > 0).alias("later"))
+    return words.groupBy("token", "entry").agg(F.max("idf").alias("idf"), F.max("head").alias("head"), F.max("later").alias("later"))
 
 
 def address_keys(entries: DataFrame) -> DataFrame:
@@ -149,7 +150,7 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
         named = nxt.join(small(pairs), (F.col("token") == F.col("p0")) & (F.col("next") == F.col("p1")))
         person = named.select("value", F.explode_outer(F.array("at", F.col("at") + 1)).alias("at")).distinct()
         exploded = exploded.join(person, ["value", "at"], "left_anti")
-    vocab = ref.groupBy("token").agg(F.max("idf").alias("idf"), F.max("head").alias("is_head"))
+    vocab = ref.groupBy("token").agg(F.max("idf").alias("idf"), F.max("later").alias("later"))
     seen = exploded.select("token").distinct()
     exact = seen.join(small(vocab.select("token")), "token", "left_semi").select("token", F.col("token").alias("word"), F.lit(1.0).alias("sim"))
     odd = seen.join(small(vocab.select("token")), "token", "left_anti")
@@ -163,8 +164,8 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
         .filter(one_edit(F.col("token"), F.col("word")))
         .withColumn("sim", 1 - 1 / F.greatest(F.length("token"), F.length("word")))
     )
-    # Abbreviations of the words that tell entries with one head apart: their letters in order, same first letter.
-    plain = vocab.filter("not is_head and length(token) >= 4").select(F.col("token").alias("word"), F.substring("token", 1, 1).alias("initial"))
+    # Abbreviations of words after the first: their letters in order, same first letter.
+    plain = vocab.filter("later and length(token) >= 4").select(F.col("token").alias("word"), F.substring("token", 1, 1).alias("initial"))
     short = odd.filter("length(token) between 2 and 6").withColumn("initial", F.substring("token", 1, 1)).join(small(plain), "initial")
     gaps = F.concat(F.lit("^"), F.regexp_replace("token", "(.)", "$1.*"))
     short = short.filter(F.expr("length(word) > length(token)") & F.rlike(F.col("word"), gaps))

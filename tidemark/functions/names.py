@@ -147,7 +147,7 @@ def handle_tokens(text: Column, person: bool = False) -> Column:
 
 def split_alias(text: Column) -> Column:
     """Aliases of a cell parted by pipes or semicolons, trimmed, empty ones dropped."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"[|;]+"), F.trim), lambda a: a != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"[|;]+"), lambda x: F.trim(x)), lambda a: a != "")
 
 
 def headline_cut(title: Column, most: int = 80) -> Column:

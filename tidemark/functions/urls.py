@@ -74,7 +74,7 @@ def host_matches(h: Column, domain: Column | str) -> Column:
 
 def domains_of(cell: Column) -> Column:
     """Sorted distinct hosts of a pipe-separated cell of addresses, schemes optional; hosts without a dot are dropped."""
-    parts = F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), r"\|"), F.trim), lambda p: (p != "") & (F.lower(p) != "nan"))
+    parts = F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda p: (p != "") & (F.lower(p) != "nan"))
     hosts = F.transform(parts, lambda p: host(F.when(p.contains("://"), p).otherwise(F.concat(F.lit("http://"), p))))
     return F.array_sort(F.array_distinct(F.filter(hosts, lambda h: h.contains("."))))
 

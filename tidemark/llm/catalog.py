@@ -11,7 +11,7 @@ from tidemark.llm.mixing import count_tokens, reached, replicate, source_plan
 from tidemark.llm.quality import flags, statistics
 from tidemark.llm.quantiles import percentiles, value_counts
 from tidemark.llm.resolve import hosts_of, resolve_values
-from tidemark.operators.packed import ADDRESS_DELIMITERS, split_values
+from tidemark.operators.packed import ADDRESS_DELIMITERS, unpack
 from tidemark.session import durable, small, table
 
 
@@ -23,8 +23,10 @@ def _typed(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """The entry meant by every typed name that is not exactly one."""
-    sites = split_values(F.col("websites"), ADDRESS_DELIMITERS)
-    entries = table(spark, sf, "companies").select("id", "name", "ticker", F.array_distinct(F.flatten(F.transform(sites, hosts_of))).alias("hosts"))
+    companies = table(spark, sf, "companies")
+    sites = unpack(companies, "id", "websites", ADDRESS_DELIMITERS).select(F.col("row_key").alias("id"), F.explode_outer(hosts_of(F.col("val"))).alias("host"))
+    hosts = sites.groupBy("id").agg(F.collect_set("host").alias("hosts"))
+    entries = durable(companies.select("id", "name", "ticker").join(hosts, "id", "left"))
     exact = entries.select(F.col("name").alias("value")).distinct()
     odd = _typed(spark, sf).filter("value is not null").join(small(exact), "value", "left_anti")
     odd = odd.filter(F.regexp_replace("value", r"[\s\p{Z}\p{Cf}]+", "") != "")

@@ -26,6 +26,9 @@ HOST_TAILS = r"(?:-?(?:group|news|shop|careers|press|media|store|corp))$"
 #: A web address within a text; a top-level domain in capitals must be a known one, as ``DRST.QX`` is a ticker.
 ADDRESS = r"(?:(?i:https?)://)?(?:[A-Za-z0-9-]+\.)+(?:(?i:example|test|com|net|org)|[a-z]{2})(?:/\S*)?(?=[\s)\"”’]|$)"
 
+#: Longest reference list that is sent to the executors.
+MAX_BROADCAST_ENTRIES = 10_000
+
 
 def name_tokens(text: Column) -> Column:
     """Folded letters-and-digits tokens of a name; words run together in camel case are parted, dotted initials joined."""
@@ -126,6 +129,9 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
     legal = F.array(*map(F.lit, LEGAL))
     toks = durable(distinct).select("value", hosts_of(F.col("value")).alias("hosts"), F.regexp_replace("value", ADDRESS, " ").alias("rest"))
 
+    # Everything made from the reference list is bounded by it: one check of its size serves all joins.
+    within = entries.limit(MAX_BROADCAST_ENTRIES + 1).count() <= MAX_BROADCAST_ENTRIES
+    hint = F.broadcast if within else (lambda d: d)
     ref = durable(reference_tokens(entries))
     # 1. web addresses
     keys = durable(address_keys(entries))
@@ -134,7 +140,7 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
     full = F.regexp_replace("host", r"\.[a-z.]+$", "")
     by_host = (
         host.select("value", F.posexplode_outer(F.array("host", full, label)).alias("rank", "key"))
-        .join(small(keys), "key")
+        .join(hint(keys), "key")
         .groupBy("value", "entry")
         .agg(F.min("rank").alias("rank"))
     )
@@ -152,13 +158,13 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
         exploded = exploded.join(person, ["value", "at"], "left_anti")
     vocab = ref.groupBy("token").agg(F.max("idf").alias("idf"), F.max("later").alias("later"))
     seen = exploded.select("token").distinct()
-    exact = seen.join(small(vocab.select("token")), "token", "left_semi").select("token", F.col("token").alias("word"), F.lit(1.0).alias("sim"))
-    odd = seen.join(small(vocab.select("token")), "token", "left_anti")
+    exact = seen.join(hint(vocab.select("token")), "token", "left_semi").select("token", F.col("token").alias("word"), F.lit(1.0).alias("sim"))
+    odd = seen.join(hint(vocab.select("token")), "token", "left_anti")
     variants = vocab.filter("length(token) >= 4").select(F.col("token").alias("word"), F.explode_outer(deletions(F.col("token"))).alias("form"))
     repaired = (
         odd.filter("length(token) >= 4")
         .select("token", F.explode_outer(deletions(F.col("token"))).alias("form"))
-        .join(small(variants), "form")
+        .join(hint(variants), "form")
         .select("token", "word")
         .distinct()
         .filter(one_edit(F.col("token"), F.col("word")))
@@ -166,7 +172,7 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
     )
     # Abbreviations of words after the first: their letters in order, same first letter.
     plain = vocab.filter("later and length(token) >= 4").select(F.col("token").alias("word"), F.substring("token", 1, 1).alias("initial"))
-    short = odd.filter("length(token) between 2 and 6").withColumn("initial", F.substring("token", 1, 1)).join(small(plain), "initial")
+    short = odd.filter("length(token) between 2 and 6").withColumn("initial", F.substring("token", 1, 1)).join(hint(plain), "initial")
     gaps = F.concat(F.lit("^"), F.regexp_replace("token", "(.)", "$1.*"))
     short = short.filter(F.expr("length(word) > length(token)") & F.rlike(F.col("word"), gaps))
     # A cut word (hosp) says more than skipped letters (engy).
@@ -176,7 +182,7 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
         exploded.join(fixes, "token")
         .groupBy("value", "word")
         .agg(F.max("sim").alias("sim"))
-        .join(small(ref.withColumnRenamed("token", "word")), "word")
+        .join(hint(ref.withColumnRenamed("token", "word")), "word")
         .filter(~F.array_contains(legal, F.col("word")) | F.col("head"))
         .groupBy("value", "entry")
         .agg(F.sum(F.col("sim") * F.col("idf")).alias("score"), F.max(F.when(F.col("head"), F.col("sim")).otherwise(0.0)).alias("head_sim"))
@@ -188,7 +194,7 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
     # 3. tickers, in capitals
     caps = toks.select("value", F.explode_outer(F.array_distinct(F.regexp_extract_all("rest", F.lit(r"(?<![A-Za-z0-9])([A-Z]{2,6})(?![a-z0-9])"), F.lit(1)))).alias("ticker"))
     listed = entries.filter("ticker is not null and ticker != ''").select("ticker", F.col("id").alias("entry")).distinct()
-    tickers = caps.join(small(listed), "ticker").select("value", "entry", F.lit(1).alias("grade"), F.lit(1.0).alias("score"))
+    tickers = caps.join(hint(listed), "ticker").select("value", "entry", F.lit(1).alias("grade"), F.lit(1.0).alias("score"))
 
     found = hosts.unionByName(words).unionByName(tickers).groupBy("value", "grade", "entry").agg(F.max("score").alias("score"))
     w = Window.partitionBy("value")

@@ -37,71 +37,68 @@ def _unquote(span: Column, json_cell: Column) -> Column:
     return F.when(json_cell & parsed.isNotNull(), parsed).otherwise(plain)
 
 
-def split_values(cell: Column, delimiters: str = TEXT_DELIMITERS) -> Column:
-    """Array of the values of a packed cell, in order.
-
-    Null, blank and ``nan`` cells give an empty array. Values are trimmed; empty
-    ones are dropped and take no position; repeats are kept. A cell that is a
-    JSON array of strings is read as one. A quote that is never closed is
-    ordinary text. A span with text beside it in its value keeps its quotes.
-    The placeholder characters themselves may occur in a cell: they are doubled
-    on the way in and halved on the way out.
+def unpack(
+    df: DataFrame, key: str, field: str, delimiters: str = TEXT_DELIMITERS, field_name: str | None = None
+) -> DataFrame:
+    """One row ``(field_name, row_key, pos, val)`` for each value of ``df[field]``.
+
+    ``row_key`` is ``df[key]`` as text. Null, blank and ``nan`` cells give none.
+    Values are trimmed; empty ones are dropped and take no position; repeats are
+    kept. A cell that is a JSON array of strings is read as one. A quote that is
+    never closed is ordinary text. A span with text beside it in its value keeps
+    its quotes. The placeholder characters themselves may occur in a cell: they
+    are replaced on the way in and restored on the way out. Rows whose key is
+    null keep a null key; repeated rows give repeated values; an empty table
+    gives an empty result. Columns of ``df`` that bear the result's names do no
+    harm.
+
+    Every step is a projection of its own, so that no pattern is matched more
+    than once a cell; cells without quotes take the short way.
     """
-    text = strip_blanks(F.coalesce(cell, F.lit("")))
-    json_cell = text.rlike(rf'^\[{_B}*(?:"|\])') & text.endswith("]")
-    body = F.when(json_cell, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
-    safe = F.replace(F.replace(body, F.lit(OPEN), F.lit(OPEN + "e" + CLOSE)), F.lit(""), F.lit(OPEN + "f" + CLOSE))
-    spans = F.regexp_extract_all(safe, F.lit(f"({SPAN})"), F.lit(1))
-    pieces = F.split(safe, SPAN, -1)
-    marked = F.array_join(
-        F.transform(
-            pieces,
-            lambda p, i: F.concat(
-                F.when(i > 0, F.concat(F.lit(OPEN), (i - 1).cast("string"), F.lit(CLOSE))).otherwise(F.lit("")), p
-            ),
-        ),
-        "",
-    )
+    text, json_cell, safe = F.col("text"), F.col("json_cell"), F.col("safe")
 
     def own(x: Column) -> Column:
-        return F.replace(F.replace(x, F.lit(OPEN + "e" + CLOSE), F.lit(OPEN)), F.lit(OPEN + "f" + CLOSE), F.lit(""))
+        return F.replace(F.replace(x, F.lit(OPEN + "e" + CLOSE), F.lit(OPEN)), F.lit(OPEN + "f" + CLOSE), F.lit(CLOSE))
 
     def whole(value: Column) -> Column:
         return F.regexp_extract(value, rf"^{OPEN}(\d+){CLOSE}$", 1)
 
     def restore(value: Column) -> Column:
         at = whole(value)
-        quoted = own(_unquote(F.get(spans, at.cast("int")), json_cell))
+        quoted = own(_unquote(F.get("spans", at.cast("int")), json_cell))
         parts = F.split(value, rf"(?={OPEN}\d)|(?<={CLOSE})")
         beside = F.array_join(
-            F.transform(
-                parts,
-                lambda p: F.when(whole(p) != "", F.get(spans, whole(p).cast("int"))).otherwise(p),
-            ),
-            "",
+            F.transform(parts, lambda p: F.when(whole(p) != "", F.get("spans", whole(p).cast("int"))).otherwise(p)), ""
         )
         return strip_blanks(F.when(at != "", quoted).otherwise(own(beside)))
 
-    values = F.transform(F.split(marked, delimiters, -1), lambda v: strip_blanks(v))
-    plain_cell = ~text.contains('"') & ~text.contains(OPEN) & ~text.contains("")
-    out = F.when(
-        plain_cell & ~json_cell, F.transform(F.split(text, delimiters, -1), lambda v: strip_blanks(v))
-    ).otherwise(F.transform(F.filter(values, lambda v: v != ""), restore))
-    return F.when((text == "") | (F.lower(text) == "nan"), F.array().cast("array<string>")).otherwise(
-        F.filter(out, lambda v: v != "")
+    def number(p: Column, i: Column) -> Column:
+        return F.concat(F.when(i > 0, F.concat(F.lit(OPEN), (i - 1).cast("string"), F.lit(CLOSE))).otherwise(F.lit("")), p)
+
+    step = df.select(F.col(key).cast("string").alias("row_key"), strip_blanks(F.col(field)).alias("text"))
+    none = (text == "") | (F.lower(text) == "nan")
+    marks = text.contains('"') | text.contains(OPEN) | text.contains(CLOSE)
+    step = step.withColumns(
+        {
+            "short": F.coalesce(~marks & ~(text.startswith("[") & text.endswith("]")), F.lit(False)),
+            "json_cell": text.rlike(rf'^\[{_B}*(?:"|\])') & text.endswith("]"),
+            "none": F.coalesce(none, F.lit(True)),
+        }
     )
-
-
-def unpack(
-    df: DataFrame, key: str, field: str, delimiters: str = TEXT_DELIMITERS, field_name: str | None = None
-) -> DataFrame:
-    """One row ``(field_name, row_key, pos, val)`` for each value of ``df[field]``.
-
-    ``row_key`` is ``df[key]`` as text. Rows whose key is null keep a null key;
-    repeated rows give repeated values; an empty table gives an empty result.
-    Columns of ``df`` that bear the result's names do no harm.
-    """
-    picked = df.select(F.col(key).cast("string").alias("row_key"), F.col(field).alias("cell"))
+    body = F.when(json_cell, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
+    escaped = F.regexp_replace(
+        F.regexp_replace(F.replace(body, F.lit(OPEN), F.lit(OPEN + "\x00")), CLOSE, OPEN + "f" + CLOSE), "\x00", "e" + CLOSE
+    )
+    step = step.withColumn("safe", F.when(~F.col("short") & ~F.col("none"), escaped))
+    step = step.withColumns(
+        {
+            "spans": F.regexp_extract_all(safe, F.lit(f"({SPAN})"), F.lit(1)),
+            "marked": F.array_join(F.transform(F.split(safe, SPAN, -1), number), ""),
+        }
+    )
+    pieces = F.split(F.when(F.col("short"), text).otherwise(F.col("marked")), delimiters, -1)
+    step = step.withColumn("pieces", F.when(~F.col("none"), F.filter(F.transform(pieces, lambda v: strip_blanks(v)), lambda v: v != "")))
+    values = F.when(F.col("short"), F.col("pieces")).otherwise(F.filter(F.transform("pieces", restore), lambda v: v != ""))
     # The outer form: the inner one would split every cell a second time, in a filter that the optimizer infers.
-    values = picked.select("row_key", F.posexplode_outer(split_values(F.col("cell"), delimiters)).alias("pos", "val"))
-    return values.filter("pos is not null").select(F.lit(field_name or field).alias("field_name"), "row_key", "pos", "val")
+    out = step.select("row_key", F.posexplode_outer(values).alias("pos", "val"))
+    return out.filter("pos is not null").select(F.lit(field_name or field).alias("field_name"), "row_key", "pos", "val")

@@ -688,11 +688,11 @@ def _srt_top(spark, sf):
 @query("set_union_concat", "SELECT 'brand' AS scope, company AS entity, sum(negative_count) AS negative FROM negative_articles_summary WHERE article_type = 'brand' GROUP BY 2 UNION ALL SELECT 'ceo', ceo, sum(negative_count) FROM negative_articles_summary WHERE article_type = 'ceo' GROUP BY 2")
 def _set_union(spark, sf):
     s = table(spark, sf, "negative_articles_summary")
-    parts = [s.filter(F.col("article_type") == k).groupBy(F.col(c).alias("entity")).agg(F.sum("negative_count").cast("bigint").alias("negative")).select(F.lit(k).alias("scope"), "entity", "negative") for k, c in (("brand", "company"), ("ceo", "ceo"))]
+    parts = [s.filter(F.col("article_type") == k).groupBy(F.col(c).alias("entity")).agg(F.coalesce(F.sum("negative_count"), F.lit(0)).cast("bigint").alias("negative")).select(F.lit(k).alias("scope"), "entity", "negative") for k, c in (("brand", "company"), ("ceo", "ceo"))]
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
-ORACLES["set_union_concat"] = ORACLES["set_union_concat"].replace("sum(negative_count)", "CAST(sum(negative_count) AS BIGINT)")
+ORACLES["set_union_concat"] = ORACLES["set_union_concat"].replace("sum(negative_count)", "CAST(coalesce(sum(negative_count), 0) AS BIGINT)")
 
 
 @query("set_difference", "SELECT name FROM ceos EXCEPT SELECT ceo FROM ceo_articles_daily_counts_chart")

@@ -13,11 +13,14 @@ import base64
 import itertools
 import math
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:  # loaded in the workers only
+    import pyarrow as pa
+
 #: The vocabulary in use; a parameter of every function that counts tokens.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how a byte-level vocabulary of this kind cuts text before merging.
@@ -31,6 +34,7 @@ def _counter(vocabulary: str, text_at: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
+        import pyarrow as pa
         import tiktoken
 
         with open(vocabulary, "rb") as lines:

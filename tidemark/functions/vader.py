@@ -4,12 +4,9 @@ The lexicon is a parameter: ``word -> valence``. The algorithm's own constants
 are those of the paper. The scorer works on Arrow batches.
 """
 
-from __future__ import annotations
-
 import math
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +55,8 @@ def score(text: str | None, lexicon: dict[str, float]) -> float | None:
 
 def compound(text: Column, lexicon: dict[str, float] | None = None) -> Column:
     """Column of ``score``, computed batch by batch."""
+    import pandas as pd
+
     table = lexicon or LEXICON
 
     @F.pandas_udf(T.DoubleType())

@@ -15,13 +15,17 @@ only for fields that went or came.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import durable
 
+if TYPE_CHECKING:  # loaded in the workers only
+    import numpy as np
+    import pandas as pd
+
 KINDS = ("string", "number", "boolean", "array", "object")
 
 
@@ -105,6 +109,8 @@ def flood(pairs: pd.DataFrame, rounds: int = 100, settled: float = 1e-6) -> np.n
     every edge passes on an equal part of its node's score. Returns the settled
     scores, the largest being 1.
     """
+    import numpy as np
+
     n = len(pairs)
     kinds = list(zip(pairs["old_kind"].fillna(""), pairs["new_kind"].fillna(""), strict=True))
     names = {k: i for i, k in enumerate(dict.fromkeys(kinds))}
@@ -261,6 +267,8 @@ def _changes(df: DataFrame, line_key: Column | None, min_agree: float, min_share
 
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
     """Follows one stream's renames in file order: the name each file's field had when it first came."""
+    import pandas as pd
+
     root: dict[str, str] = {}
     out = []
     for _, file in pdf.sort_values(["file_date", "file_id"]).groupby(["file_date", "file_id"], sort=True):

@@ -12,24 +12,25 @@ partition, one combine a day, and no inverse of the operation is needed
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Monoids: the operation and its identity.
-MONOIDS = {
-    "sum": (np.add, 0),
-    "max": (np.maximum, np.iinfo(np.int64).min),
-    "min": (np.minimum, np.iinfo(np.int64).max),
-}
+if TYPE_CHECKING:  # loaded in the workers only
+    import numpy as np
+    import pyarrow as pa
+
+#: Monoids on 64-bit integers: numpy's name of the operation, and its identity.
+MONOIDS = {"sum": ("add", 0), "max": ("maximum", -(2**63)), "min": ("minimum", 2**63 - 1)}
 #: Days in a block of an entity's calendar; a longer history is split over tasks.
 BLOCK_DAYS = 366
 
 
 def two_stacks(values: np.ndarray, window: int, op: np.ufunc, identity: int) -> np.ndarray:
     """``op`` over each trailing ``window`` of ``values``; short at the start."""
+    import numpy as np
+
     n = len(values)
     if n == 0:
         return values.copy()
@@ -43,10 +44,13 @@ def two_stacks(values: np.ndarray, window: int, op: np.ufunc, identity: int) ->
 
 
 def _roll(windows: tuple[int, ...], monoid: str, n_values: int, n_keys: int):
-    op, identity = MONOIDS[monoid]
+    op_name, identity = MONOIDS[monoid]
     halo = max(windows) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow as pa
+
         held: pa.Table | None = None
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -62,6 +66,10 @@ def _roll(windows: tuple[int, ...], monoid: str, n_values: int, n_keys: int):
             yield from emit(held)
 
     def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow as pa
+
+        op = getattr(np, op_name)
         groups = t["grp"].to_numpy()
         day = t["day"].to_numpy()
         start = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 def daily_counts(stream: DataFrame, ts: str, keys: list[str], label: str, late: str = "1 day") -> DataFrame:
     """Counts by entity and calendar day; rows later than ``late`` behind the newest are dropped."""
@@ -32,6 +35,8 @@ def carried_state(stream: DataFrame, key: str) -> DataFrame:
     """
 
     def step(k: tuple, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         last, active = state.get if state.exists else (None, False)
         out = []
         for r in pd.concat(list(rows)).sort_values("date").itertuples():

@@ -33,7 +33,12 @@ def resolve(url: Column, resolved: Column | None = None) -> Column:
 
 def normalize(url: Column) -> Column:
     """Lower scheme and host, no leading ``www.``, single slashes, no fragment or tracking, sorted parameters."""
-    u = resolve(url)
+    # The array of one element binds the resolved address, so its patterns are matched once.
+    whole = F.get(F.transform(F.array(resolve(url)), _normal_form), F.lit(0))
+    return F.when(F.trim(F.coalesce(url, F.lit(""))) == "", "").otherwise(whole)
+
+
+def _normal_form(u: Column) -> Column:
     scheme = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
     scheme = F.when(scheme == "", "http").otherwise(scheme)
     host = F.regexp_replace(F.lower(F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), r"^www\.", "")
@@ -50,14 +55,12 @@ def normalize(url: Column) -> Column:
     kept = F.array_sort(F.filter(pairs, lambda p: ~p["k"].isin(TRACKING) & ~p["k"].startswith("utm_") & ~p["k"].startswith("gaa_")))
     code = lambda x: F.replace(F.replace(F.url_encode(x), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
     text = F.array_join(F.transform(kept, lambda p: F.concat(code(p["k"]), F.lit("="), code(p["v"]))), "&")
-    whole = F.concat(scheme, F.lit("://"), host, path, F.when(text != "", F.concat(F.lit("?"), text)).otherwise(""))
-    return F.when(F.trim(F.coalesce(url, F.lit(""))) == "", "").otherwise(whole)
+    return F.concat(scheme, F.lit("://"), host, path, F.when(text != "", F.concat(F.lit("?"), text)).otherwise(""))
 
 
 def url_hash(url: Column) -> Column:
     """SHA-256 of the normal form; empty for an empty URL."""
-    n = normalize(url)
-    return F.when(n == "", "").otherwise(F.sha2(n, 256))
+    return F.get(F.transform(F.array(normalize(url)), lambda n: F.when(n == "", "").otherwise(F.sha2(n, 256))), F.lit(0))
 
 
 def host(url: Column) -> Column:

@@ -45,6 +45,14 @@ def test_prose_and_junk(spark):
     assert len(out) == docs(spark).count()
 
 
+def test_languages_with_much_junk(spark):
+    # a third, a half and nearly all of a language is junk
+    rows = [(lang, i < bad, "" if i % 2 else JUNK[0]) for lang, bad, n in (("en", 4, 12), ("de", 6, 12), ("es", 11, 12)) for i in range(n)]
+    data = [(i, text if bad else PROSE[lang], lang) for i, (lang, bad, text) in enumerate(rows)]
+    out = flags(statistics(spark.createDataFrame(data, "doc_id long, text string, lang string"))).collect()
+    assert {r.doc_id for r in out if r.junk} == {i for i, (_, bad, _) in enumerate(rows) if bad}
+
+
 def test_statistics(spark):
     df = spark.createDataFrame([(1, "The cat, the dog!\nno end", "en"), (2, None, None)], "doc_id long, text string, lang string")
     a, b = sorted(statistics(df).collect(), key=lambda r: r.doc_id)

@@ -124,12 +124,16 @@ def spreads(sketched: DataFrame, top: dict[str, float] | None = None) -> DataFra
 #: Statistics that tell prose apart, with the least spread to reckon with and the tail that speaks against prose.
 TAILS = {"prose_share": (0.1, -5.0), "common_share": (0.06, -4.0)}
 SCALES = {"mean_word": 50.0}
+#: A text with less than this share of its words in prose lines is for the most part no prose, however wide its language spreads.
+LEAST_PROSE = 0.5
 
 
 def flags(stats: DataFrame, sketched: DataFrame | None = None) -> DataFrame:
     """``stats`` with ``z_<stat>`` for each statistic of ``TAILS`` and ``junk``.
 
-    A document is junk if the words of its prose lines lie in the lower tail of its language. A
+    A document is junk if the words of its prose lines lie in the lower tail of its language, or
+    are less than ``LEAST_PROSE`` of its words: the more of a language is junk, the wider it
+    spreads, and its tail alone would then let go of all of it. A
     spread is taken as at least its floor, so that a language in which nearly all
     documents agree does not flag small departures; and the reference median of a
     language is at least the median over all languages, so that a language of
@@ -151,4 +155,4 @@ def flags(stats: DataFrame, sketched: DataFrame | None = None) -> DataFrame:
     joined = stats.join(small(ref), F.col("lang").eqNullSafe(F.col("ref_lang")))
     z = {s: (F.col(s) - F.col(f"m_{s}")) / F.least(F.col(f"s_{s}"), F.lit(2 * TAILS[s][0])) for s in names}
     out = joined.select(stats["*"], *(z[s].alias(f"z_{s}") for s in names))
-    return out.withColumn("junk", F.col("z_prose_share") < TAILS["prose_share"][1])
+    return out.withColumn("junk", (F.col("z_prose_share") < TAILS["prose_share"][1]) | (F.col("prose_share") < LEAST_PROSE))

@@ -164,6 +164,53 @@ def _ups_delete(spark, sf):
     return merge.delete_matching(old.select("k", "id"), new, ["k"])
 
 
+def _pages(spark, sf):
+    """All articles of the history and of later batches under the page their link leads to; a row without a link is a page of its own."""
+    a = table(spark, sf, "articles")
+    page = F.coalesce(F.nullif(urls.normalize(F.col("url")), F.lit("")), F.concat(F.lit("#"), F.col("id")))
+    a = a.select(page.alias("page"), "id", "publisher", "snippet", "first_seen_at", "last_seen_at", "batch_no")
+    return a.filter("batch_no = 0").drop("batch_no"), a.filter("batch_no > 0").drop("batch_no")
+
+
+@query("ups_overwrite_pages")
+def _ups_overwrite_pages(spark, sf):
+    old, new = (merge.dedupe(x.select("page", "id", "publisher"), ["page"], "id") for x in _pages(spark, sf))
+    return merge.merge(old, new, ["page"])
+
+
+@query("ups_coalesce_new_pages")
+def _ups_fill_pages(spark, sf):
+    # a page's own rows fill each other in the order of arrival, as they would one by one
+    last = [F.max(F.when(F.col(c).isNotNull(), F.struct("id", c)))[c].alias(c) for c in ("publisher", "snippet")]
+    old, new = (x.groupBy("page").agg(*last) for x in _pages(spark, sf))
+    return merge.merge(old, new, ["page"], default="fill")
+
+
+@query("ups_min_max_seen_pages")
+def _ups_seen_pages(spark, sf):
+    seen = [F.min("first_seen_at").alias("first_seen_at"), F.max("last_seen_at").alias("last_seen_at")]
+    old, new = (x.groupBy("page").agg(*seen) for x in _pages(spark, sf))
+    return merge.merge(old, new, ["page"], {"first_seen_at": "least", "last_seen_at": "greatest"})
+
+
+@query("ups_do_nothing_pages")
+def _ups_nothing_pages(spark, sf):
+    old, new = (merge.dedupe(x.select("page", "id"), ["page"], "id", last=False) for x in _pages(spark, sf))
+    return merge.insert_new(old, new, ["page"])
+
+
+@query("ups_update_from_pages")
+def _ups_update_pages(spark, sf):
+    old, new = _pages(spark, sf)
+    return merge.update_from(old.select("page", "id", "publisher"), merge.dedupe(new.select("page", "id", "publisher"), ["page"], "id"), ["page"], ["publisher"])
+
+
+@query("ups_delete_using_pages")
+def _ups_delete_pages(spark, sf):
+    old, new = _pages(spark, sf)
+    return merge.delete_matching(old.select("page", "id"), new, ["page"])
+
+
 @query("ups_insert_select", "SELECT v.ceo AS name, k.id AS company_id FROM (SELECT DISTINCT ceo, company FROM ceo_articles_daily_counts_chart) v JOIN companies k ON k.name = v.company")
 def _ups_insert(spark, sf):
     v = table(spark, sf, "ceo_articles_daily_counts_chart").select("ceo", "company").distinct()

@@ -41,3 +41,30 @@ def test_merges_of_whole_tables(spark, tables):
     }
     for name, rows in want.items():
         assert sorted(map(tuple, QUERIES[name](spark, sf).collect()), key=str) == sorted(rows, key=str), name
+
+
+def test_rules_on_any_script_and_null_titles(spark, tables):
+    rows = [
+        (1, "Court hears ‘claim’ on Söder…", None, "P", "https://a.example/1"),
+        (2, None, "Staff walk out – again", None, None),
+        (3, "Éclair shares rise", "“outlook” lifts", "P", None),
+        (4, "Plain court", None, "P", None),
+        (5, "Sharesé and courté", None, None, None),
+        (6, None, None, None, None),
+        (7, "Boss named “chief”", None, "Reddit", None),
+    ]
+    sf = tables("articles", rows, "id long, title string, snippet string, publisher string, url string")
+    got = {name: {r[0]: tuple(r)[1:] for r in QUERIES[name](spark, sf).collect()} for name in ("rule_flags_whole", "rule_neutralised_whole", "rule_sentiment_cascade", "nar_classify_whole")}
+    no = (False, False, False, False)
+    assert got["rule_flags_whole"] == {1: (False, True, False, True), 2: (False, False, True, False), 3: (True, False, False, False), 4: (False, True, False, True), 5: no, 6: no, 7: no}
+    assert got["rule_neutralised_whole"] == {i: (i in (2, 3),) for i in range(1, 8)}
+    assert got["nar_classify_whole"] == {1: (None, None), 2: ("labour", "crisis"), 3: ("growth", "non_crisis"), 4: (None, None), 5: (None, None), 6: (None, None), 7: ("governance", "crisis")}
+    assert {i: r[0] for i, r in got["rule_sentiment_cascade"].items()} == {1: "negative", 2: "neutral", 3: "neutral", 4: "negative", 5: "neutral", 6: "neutral", 7: "negative"}
+
+
+def test_typed_names_of_any_script(spark, tables):
+    tables("companies", [("a", "Söder Foods"), ("b", "Numara Inc"), ("c", "Zed & Sons")], "id string, name string")
+    typed = [(1, "Söder Foods"), (2, "numara\u00a0"), (3, "Numara – Group"), (4, None), (5, "Ｚｅｄ"), (6, "Zed & Sons"), (7, "")]
+    sf = tables("ceo_articles_modal", typed, "row_id long, company string")
+    got = {r[0]: (r[1], r[2]) for r in QUERIES["join_fallback_chain_whole"](spark, sf).collect()}
+    assert got == {1: ("a", "exact"), 2: ("b", "simple"), 3: ("b", "simple"), 4: (None, None), 5: (None, None), 6: ("c", "exact"), 7: (None, None)}

@@ -445,9 +445,18 @@ SELECT m.row_id, coalesce(e.id, n.id, s.id) AS id, CASE WHEN e.id IS NOT NULL TH
 FROM ceo_articles_modal m LEFT JOIN e ON e.k = m.company LEFT JOIN n ON n.k = {_ING.format('m.company')} LEFT JOIN s ON s.k = {_simple(_ING.format('m.company'), ",'the'")}
 WHERE m.company IS NOT NULL AND regexp_full_match(m.company, '[\\x20-\\x7e]*')""")
 def _join_chain(spark, sf):
-    m = table(spark, sf, "ceo_articles_modal").filter(F.col("company").rlike(r"^[\x20-\x7e]*$")).select("row_id", "company")
+    m = table(spark, sf, "ceo_articles_modal").filter(F.col("company").rlike(r"^[\x20-\x7e]*$"))
+    return _chained(spark, sf, m)
+
+
+@query("join_fallback_chain_whole")
+def _join_chain_whole(spark, sf):
+    return _chained(spark, sf, table(spark, sf, "ceo_articles_modal"))
+
+
+def _chained(spark, sf, typed):
     keys = [("exact", lambda c: c), ("key", names.ingest_key), ("simple", names.ingest_simple)]
-    return resolve.fallback_chain(m, "company", table(spark, sf, "companies"), "name", "id", keys).select("row_id", "id", "match_type")
+    return resolve.fallback_chain(typed.select("row_id", "company"), "company", table(spark, sf, "companies"), "name", "id", keys).select("row_id", "id", "match_type")
 
 
 _KEYS = "(SELECT DISTINCT trim(regexp_replace(regexp_replace(lower(query), '[^a-z0-9\\s]+', ' ', 'g'), '\\s+', ' ', 'g')) AS q FROM raw_serps WHERE query IS NOT NULL)"
@@ -791,24 +800,42 @@ _FLAGS = f"""SELECT id, {_has(_SRC, 'shares|outlook|report|stock|analysts|debt')
 {_has(_HEAD, 'jobs|staff|walk\\s+out')} AND NOT {_has(_HEAD, 'injured|court')} AS low, {_has(_ALL, 'court|claim|regulator|inquiry')} AS law FROM articles WHERE {_ASCII}"""
 
 
-def _flagged(spark, sf):
-    a = table(spark, sf, "articles").filter(F.concat("title", F.coalesce("snippet", F.lit(""))).rlike(r"^[\x20-\x7e]*$"))
-    return rules.flags(a.select("id", "title", "snippet", "publisher", "url"), "title", "snippet", "publisher", "url")
+def _ascii(spark, sf):
+    """The articles that the SQL of three queries is about; the same queries over all of them end in ``_whole``."""
+    return table(spark, sf, "articles").filter(F.concat("title", F.coalesce("snippet", F.lit(""))).rlike(r"^[\x20-\x7e]*$"))
+
+
+def _flagged(articles):
+    return rules.flags(articles.select("id", "title", "snippet", "publisher", "url"), "title", "snippet", "publisher", "url")
+
+
+def _flag_columns(articles):
+    return _flagged(articles).select("id", F.col("r_finance").alias("finance"), F.col("r_material").alias("material"), F.col("r_low").alias("low"), F.col("r_legal").alias("legal"))
 
 
 @query("rule_flags", f"SELECT id, finance, material, low, NOT low AND law AS legal FROM ({_FLAGS})")
 def _rule_flags(spark, sf):
-    return _flagged(spark, sf).select("id", F.col("r_finance").alias("finance"), F.col("r_material").alias("material"), F.col("r_low").alias("low"), F.col("r_legal").alias("legal"))
+    return _flag_columns(_ascii(spark, sf))
+
+
+@query("rule_flags_whole")
+def _rule_flags_whole(spark, sf):
+    return _flag_columns(table(spark, sf, "articles"))
 
 
 @query("rule_neutralised", f"SELECT id, low OR (finance AND NOT material) AS neutral FROM ({_FLAGS})")
 def _rule_neutral(spark, sf):
-    return _flagged(spark, sf).select("id", rules.neutralised(F.lit("negative")).alias("neutral"))
+    return _flagged(_ascii(spark, sf)).select("id", rules.neutralised(F.lit("negative")).alias("neutral"))
+
+
+@query("rule_neutralised_whole")
+def _rule_neutral_whole(spark, sf):
+    return _flagged(table(spark, sf, "articles")).select("id", rules.neutralised(F.lit("negative")).alias("neutral"))
 
 
 @query("rule_sentiment_cascade")
 def _rule_cascade(spark, sf):
-    f = _flagged(spark, sf).withColumn("c", compound(F.col("title")))
+    f = _flagged(table(spark, sf, "articles")).withColumn("c", compound(F.col("title")))
     reddit = F.lower(F.coalesce("publisher", F.lit(""))).contains("reddit")
     label = rules.cascade(F.col("c"), F.lit(False), reddit)
     why = rules.uncertain_reason(F.col("label"), F.col("c"), F.col("title"), F.col("r_finance"), F.col("r_legal"))
@@ -834,14 +861,22 @@ def _vader(spark, sf):
     return table(spark, sf, "articles").select("id", compound(F.col("title")).alias("compound"))
 
 
+def _narratives(articles):
+    n = rules.narrative(rules.haystack(F.col("title"), F.col("snippet")), rules.DEFAULT, ("safety", "governance", "labour"), ("deals", "growth"))
+    return articles.select("id", n.alias("n")).select("id", F.col("n.primary_tag").alias("tag"), F.col("n.primary_group").alias("grp"))
+
+
 _NAR = f"CASE WHEN {_has(_HEAD, 'injured|recalls|leak')} THEN 'safety' WHEN {_has(_HEAD, 'inquiry|named|boss|chief')} THEN 'governance' WHEN {_has(_HEAD, 'jobs|staff|walk')} THEN 'labour' WHEN {_has(_HEAD, 'deal|venture|programme')} THEN 'deals' WHEN {_has(_HEAD, 'opens|expands|lifts')} THEN 'growth' END"
 
 
 @query("nar_classify", f"SELECT id, {_NAR} AS tag, CASE WHEN {_NAR} IN ('safety','governance','labour') THEN 'crisis' WHEN {_NAR} IS NOT NULL THEN 'non_crisis' END AS grp FROM articles WHERE {_ASCII}")
 def _nar(spark, sf):
-    a = table(spark, sf, "articles").filter(F.concat("title", F.coalesce("snippet", F.lit(""))).rlike(r"^[\x20-\x7e]*$"))
-    n = rules.narrative(rules.haystack(F.col("title"), F.col("snippet")), rules.DEFAULT, ("safety", "governance", "labour"), ("deals", "growth"))
-    return a.select("id", n.alias("n")).select("id", F.col("n.primary_tag").alias("tag"), F.col("n.primary_group").alias("grp"))
+    return _narratives(_ascii(spark, sf))
+
+
+@query("nar_classify_whole")
+def _nar_whole(spark, sf):
+    return _narratives(table(spark, sf, "articles"))
 
 
 @query("nar_rollup_day", """WITH c AS (SELECT entity_name, date, narrative_primary_tag AS tag FROM serp_feature_items WHERE sentiment_label = 'negative' AND NOT finance_routine),

@@ -68,3 +68,20 @@ def test_typed_names_of_any_script(spark, tables):
     sf = tables("ceo_articles_modal", typed, "row_id long, company string")
     got = {r[0]: (r[1], r[2]) for r in QUERIES["join_fallback_chain_whole"](spark, sf).collect()}
     assert got == {1: ("a", "exact"), 2: ("b", "simple"), 3: ("b", "simple"), 4: (None, None), 5: (None, None), 6: ("c", "exact"), 7: (None, None)}
+
+
+def test_control_of_items_without_an_id(spark, tables):
+    tables("companies", [("a", "Numara Foods", "shop-of-n.example"), ("b", "Zed", None)], "id string, name string, websites string")
+    tables("ceos", [("Ada L", "a"), ("Two Of", "a"), ("Two Of", "b")], "name string, company_id string")
+    rows = [
+        (1, "a", "Numara Foods", None, "https://shop-of-n.example/x", "t"),
+        (2, None, "Numara Foods", None, "https://shop-of-n.example/x", "t"),
+        (3, None, "Ada L", None, "https://www.shop-of-n.example/x", "t"),
+        (4, None, "Two Of", None, "https://shop-of-n.example/x", "t"),
+        (5, None, "Unlisted Works", "Unlisted Works", "https://u.example/x", "t"),
+        (6, "gone", "Unlisted Works", None, "https://u.example/x", None),
+        (7, None, None, None, None, None),
+    ]
+    sf = tables("serp_feature_items", rows, "item_id long, entity_id string, entity_name string, source string, url string, title string")
+    got = {r.item_id: r.control for r in QUERIES["rule_control"](spark, sf).collect()}
+    assert got == {i: "controlled" if i in (1, 2, 3, 5) else "uncontrolled" for i in range(1, 8)}

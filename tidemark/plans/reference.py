@@ -844,9 +844,14 @@ def _rule_cascade(spark, sf):
 
 @query("rule_control")
 def _rule_control(spark, sf):
-    k = table(spark, sf, "companies").select(F.col("id").alias("company_id"), F.col("name").alias("company"), urls.domains_of(F.col("websites")).alias("domains"))
-    s = table(spark, sf, "serp_feature_items").select("item_id", F.col("entity_id").alias("company_id"), "source", "url", "title")
-    j = s.join(small(k), "company_id")
+    companies = table(spark, sf, "companies")
+    k = companies.select(F.col("id").alias("company_id"), F.col("name").alias("company"), urls.domains_of(F.col("websites")).alias("domains"))
+    # an item without an id is of the company of its name, or of the one company that its person leads
+    named = resolve.unique_lookup(companies.select(F.col("name").alias("entity_name"), F.col("id").alias("named")), "entity_name", "named")
+    led = resolve.unique_lookup(table(spark, sf, "ceos").select(F.col("name").alias("entity_name"), F.col("company_id").alias("led")), "entity_name", "led")
+    s = table(spark, sf, "serp_feature_items").select("item_id", "entity_id", "entity_name", "source", "url", "title")
+    s = s.join(small(named), "entity_name", "left").join(small(led), "entity_name", "left").withColumn("company_id", F.coalesce("entity_id", "named", "led"))
+    j = s.join(small(k), "company_id", "left").withColumn("company", F.coalesce("company", "entity_name"))
     return j.select("item_id", rules.control_class(F.col("company"), F.col("source"), F.col("url"), F.col("title"), F.col("domains")).alias("control"))
 
 

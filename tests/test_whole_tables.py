@@ -1,6 +1,7 @@
 """Registered queries over small tables of their own: no row is left out."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 
@@ -85,3 +86,17 @@ def test_control_of_items_without_an_id(spark, tables):
     sf = tables("serp_feature_items", rows, "item_id long, entity_id string, entity_name string, source string, url string, title string")
     got = {r.item_id: r.control for r in QUERIES["rule_control"](spark, sf).collect()}
     assert got == {i: "controlled" if i in (1, 2, 3, 5) else "uncontrolled" for i in range(1, 8)}
+
+
+def test_links_moments_and_markup_of_every_row(spark, tables):
+    links = ["https://a.example/x?b=2&a=1&utm_source=q", "https://a.example/x;v=1?id=3", "https://a.example/x", None]
+    texts = ["A &#8211; B", "C &#x27;d&#x27; &amp; e", None, "F"]
+    tables("articles", list(zip(range(4), links, texts, [None, None, "g", None])), "id long, url string, title string, snippet string")
+    stamps = ["2025-06-29T05:59:44Z", "2025-06-29 05:59:44", "Sun, 29 Jun 2025 07:59:44 +0200", "soon", None]
+    sf = tables("ceo_articles_modal", list(enumerate(stamps)), "row_id long, published_at string")
+    got = {name: {r[0]: r[1] for r in QUERIES[name](spark, sf).collect()} for name in ("url_hash_whole", "cast_datetime_whole", "src_html_text_whole")}
+    forms = ["https://a.example/x?a=1&b=2", "https://a.example/x?id=3", "https://a.example/x"]
+    assert got["url_hash_whole"] == {**{i: hashlib.sha256(f.encode()).hexdigest() for i, f in enumerate(forms)}, 3: ""}
+    at = dt.datetime(2025, 6, 29, 5, 59, 44)
+    assert got["cast_datetime_whole"] == {0: at, 1: at, 2: at, 3: None, 4: None}
+    assert got["src_html_text_whole"] == {0: "A – B", 1: "C 'd' & e", 2: "g", 3: "F"}

@@ -67,6 +67,12 @@ def _src_html(spark, sf):
     return a.select("id", readers.html_text(html).alias("text"))
 
 
+@query("src_html_text_whole")
+def _src_html_whole(spark, sf):
+    html = F.concat(F.lit('<p class="x">'), F.coalesce("title", F.lit("")), F.lit("</p><b>"), F.coalesce("snippet", F.lit("")), F.lit("</b>"))
+    return table(spark, sf, "articles").select("id", readers.html_text(html).alias("text"))
+
+
 @query("src_source_name", "SELECT id, CASE WHEN trim(coalesce(publisher, '')) <> '' THEN trim(publisher) ELSE replace(lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), 'www.', '') END AS source FROM articles")
 def _src_name(spark, sf):
     return table(spark, sf, "articles").select("id", readers.source_name(F.col("publisher"), F.col("url")).alias("source"))
@@ -285,6 +291,11 @@ def _cast_datetime(spark, sf):
     return m.select("row_id", casts.to_instant(F.col("published_at")).alias("at"))
 
 
+@query("cast_datetime_whole")
+def _cast_datetime_whole(spark, sf):
+    return table(spark, sf, "ceo_articles_modal").select("row_id", casts.to_instant(F.col("published_at")).alias("at"))
+
+
 @query("cast_llm_fields", "SELECT row_id, coalesce(nullif(trim(llm_label), ''), nullif(trim(llm_severity), '')) AS a, coalesce(nullif(trim(llm_severity), ''), nullif(trim(llm_label), '')) AS b FROM ceo_articles_modal")
 def _cast_llm(spark, sf):
     a, b = casts.mirror(F.col("llm_label"), F.col("llm_severity"))
@@ -393,6 +404,11 @@ def _url_hash(spark, sf):
     return table(spark, sf, "articles").filter(_PLAINURL).select("id", urls.url_hash(F.col("url")).alias("h"))
 
 
+@query("url_hash_whole")
+def _url_hash_whole(spark, sf):
+    return table(spark, sf, "articles").select("id", urls.url_hash(F.col("url")).alias("h"))
+
+
 @query("url_item_hash", "SELECT item_id, md5(coalesce(nullif(url, ''), feature_type || '|' || coalesce(CAST(position AS VARCHAR), '') || '|' || title)) AS h FROM serp_feature_items")
 def _url_item(spark, sf):
     return table(spark, sf, "serp_feature_items").select("item_id", urls.item_hash(F.col("url"), F.col("feature_type"), F.col("position"), F.col("title")).alias("h"))

@@ -72,6 +72,19 @@ def test_appending_equals_one_pass(spark):
     assert history.count() == len(ROWS)
 
 
+def test_titles_cut_by_many_words(spark):
+    whole = "Court hears Brabralis claim against Ganakraket Energy over faults found near Truskex depot before 244 plaintiffs met in Zolabel"
+    rows = [
+        (1, 0, "https://p.example/1", whole, None),
+        (2, 1, "https://p.example/2", "Court hears Brabralis claim against Ganakra…", None),
+        (3, 1, "https://p.example/3", "Court hears Brabralis claim…", None),
+        (4, 1, "https://p.example/4", "Court hears Brabralis plea…", None),
+        (5, 1, "https://p.example/5", whole.rsplit(" ", 1)[0] + "...", None),
+    ]
+    index, _ = pivot_table(table(spark, rows), order=["batch_no", "id"])
+    assert {(r.id_a, r.id_b) for r in repeats(story_groups(index)).collect()} == {(1, 2), (1, 3), (1, 5)}
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(25)]

@@ -24,8 +24,8 @@ from tidemark.session import durable, small
 RADIUS = 2
 BAND = 2 * RADIUS + 1
 PIVOTS = 4
-#: A cut title may lack at most this many words of the whole one, and keeps at least MIN_CUT words.
-MAX_LOST, MIN_CUT = 6, 4
+#: A cut title keeps at least this many words; it may lack any number of the whole one's.
+MIN_CUT = 4
 
 #: Marks that desks put before a headline.
 MARKS = (
@@ -176,8 +176,10 @@ def _cut_pairs(cut: DataFrame, whole: DataFrame) -> DataFrame:
     short = cut.filter("cut").filter(n >= MIN_CUT).select(
         F.col("node").alias("node_a"), (n - 1).alias("upto"), F.xxhash64(F.array_join(F.slice("words", 1, n - 1), " ")).alias("head"), F.try_element_at("words", F.lit(-1)).alias("last")
     )
-    upto = F.explode_outer(F.sequence(F.greatest(n - 1 - MAX_LOST, F.lit(MIN_CUT - 1)), n - 1))
-    long = whole.filter(n >= MIN_CUT).select("node", "turn0", "words", upto.alias("upto"))
+    # Beginnings are made of those lengths only that cut titles have; one row, as short as the longest title.
+    lengths = short.agg(F.collect_set("upto").alias("lengths"))
+    upto = F.explode(F.filter("lengths", lambda k: k < n))
+    long = whole.filter(n >= MIN_CUT).crossJoin(F.broadcast(lengths)).select("node", "turn0", "words", upto.alias("upto"))
     long = long.select(
         F.col("node").alias("node_b"),
         F.col("turn0").alias("turn_b"),

@@ -53,6 +53,16 @@ def test_languages_with_much_junk(spark):
     assert {r.doc_id for r in out if r.junk} == {i for i, (_, bad, _) in enumerate(rows) if bad}
 
 
+def test_every_statistic_is_scored(spark):
+    rows = [(i, PROSE["en"] * (1 + i % 7), "en") for i in range(70)] + [(100, "!!! ??? ---", "en"), (101, "w" * 70, "en"), (102, PROSE["en"] * 3000, "en")]
+    out = {r.doc_id: r for r in flags(statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string"))).collect()}
+    names = ("n_words", "mean_word", "symbol_share", "end_share", "common_share", "prose_share", "repeat_share")
+    assert all(out[i][f"z_{s}"] is not None for i in out for s in names)
+    assert out[100].z_symbol_share > 5 and out[101].z_mean_word > 5 and out[102].z_n_words > 5 and out[100].z_n_words < -5
+    median = sorted(r.mean_word for r in out.values())[len(out) // 2]
+    assert all(abs(r.z_mean_word) < 1 for r in out.values() if abs(r.mean_word - median) < 0.05)
+
+
 def test_statistics(spark):
     df = spark.createDataFrame([(1, "The cat, the dog!\nno end", "en"), (2, None, None)], "doc_id long, text string, lang string")
     a, b = sorted(statistics(df).collect(), key=lambda r: r.doc_id)

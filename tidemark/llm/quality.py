@@ -123,13 +123,21 @@ def spreads(sketched: DataFrame, top: dict[str, float] | None = None) -> DataFra
 
 #: Statistics that tell prose apart, with the least spread to reckon with and the tail that speaks against prose.
 TAILS = {"prose_share": (0.1, -5.0), "common_share": (0.06, -4.0)}
-SCALES = {"mean_word": 50.0}
+#: Upper ends of sketches of statistics that are no shares; numbers of words are sketched and scored by their logarithm.
+SCALES = {"mean_word": 50.0, "n_words": 25.0}
+#: Least spreads of the statistics that decide nothing.
+SPREADS = {"n_words": 0.1, "mean_word": 0.1, "symbol_share": 0.01, "end_share": 0.05, "repeat_share": 0.02}
+STATISTICS = [*TAILS, *SPREADS]
+
+
+def _scored(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("n_words", F.log1p("n_words"))
 #: A text with less than this share of its words in prose lines is for the most part no prose, however wide its language spreads.
 LEAST_PROSE = 0.5
 
 
 def flags(stats: DataFrame, sketched: DataFrame | None = None) -> DataFrame:
-    """``stats`` with ``z_<stat>`` for each statistic of ``TAILS`` and ``junk``.
+    """``stats`` with ``z_<stat>`` for each of ``STATISTICS`` and ``junk``.
 
     A document is junk if the words of its prose lines lie in the lower tail of its language, or
     are less than ``LEAST_PROSE`` of its words: the more of a language is junk, the wider it
@@ -139,20 +147,21 @@ def flags(stats: DataFrame, sketched: DataFrame | None = None) -> DataFrame:
     language is at least the median over all languages, so that a language of
     mostly junk does not pass for prose.
     """
-    names = list(TAILS)
-    sketched = sketched if sketched is not None else sketch(stats, names)
-    per = spreads(sketched)
-    every = spreads(sketched.withColumn("lang", F.lit("*")).groupBy("lang", "stat", "bucket").agg(F.sum("n").alias("n")))
+    sketched = sketched if sketched is not None else sketch(_scored(stats), STATISTICS, SCALES)
+    per = spreads(sketched, SCALES)
+    every = spreads(sketched.withColumn("lang", F.lit("*")).groupBy("lang", "stat", "bucket").agg(F.sum("n").alias("n")), SCALES)
     wide = per.groupBy("lang").agg(
-        *(F.max(F.when(F.col("stat") == s, F.struct("median", "spread"))).alias(s) for s in names)
+        *(F.max(F.when(F.col("stat") == s, F.struct("median", "spread"))).alias(s) for s in STATISTICS)
     )
-    whole = every.groupBy().agg(*(F.max(F.when(F.col("stat") == s, F.col("median"))).alias(f"all_{s}") for s in names))
+    whole = every.groupBy().agg(*(F.max(F.when(F.col("stat") == s, F.col("median"))).alias(f"all_{s}") for s in TAILS))
     ref = wide.crossJoin(F.broadcast(whole)).select(
         F.col("lang").alias("ref_lang"),
-        *(F.greatest(F.col(f"{s}.median"), F.col(f"all_{s}")).alias(f"m_{s}") for s in names),
-        *(F.greatest(F.col(f"{s}.spread"), F.lit(TAILS[s][0])).alias(f"s_{s}") for s in names),
+        *(F.greatest(F.col(f"{s}.median"), F.col(f"all_{s}")).alias(f"m_{s}") for s in TAILS),
+        *(F.least(F.greatest(F.col(f"{s}.spread"), F.lit(floor)), F.lit(2 * floor)).alias(f"s_{s}") for s, (floor, _) in TAILS.items()),
+        *(F.col(f"{s}.median").alias(f"m_{s}") for s in SPREADS),
+        *(F.greatest(F.col(f"{s}.spread"), F.lit(floor)).alias(f"s_{s}") for s, floor in SPREADS.items()),
     )
     joined = stats.join(small(ref), F.col("lang").eqNullSafe(F.col("ref_lang")))
-    z = {s: (F.col(s) - F.col(f"m_{s}")) / F.least(F.col(f"s_{s}"), F.lit(2 * TAILS[s][0])) for s in names}
-    out = joined.select(stats["*"], *(z[s].alias(f"z_{s}") for s in names))
+    value = {s: F.log1p(s) if s == "n_words" else F.col(s) for s in STATISTICS}
+    out = joined.select(stats["*"], *(((value[s] - F.col(f"m_{s}")) / F.col(f"s_{s}")).alias(f"z_{s}") for s in STATISTICS))
     return out.withColumn("junk", (F.col("z_prose_share") < TAILS["prose_share"][1]) | (F.col("prose_share") < LEAST_PROSE))

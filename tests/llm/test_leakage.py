@@ -26,7 +26,7 @@ def brute(docs, items, width):
 
 
 def test_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "CHUNK", 40)
+    monkeypatch.setattr(leakage, "PIECE", 40)
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(60)] + ["Énergie", "Straße", "naïve", "x1"]
     items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randrange(5, 50)))) for i in range(12)]

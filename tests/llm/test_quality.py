@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm.quality import flags, merge_sketches, sketch, spreads, statistics
+from tidemark.llm.quality import STATISTICS, flags, merge_sketches, references, sketch, spreads, statistics
 
 PROSE = {
     "en": "The board of the company said on Monday that it had not yet decided what would happen to the plant, and most of them doubt it.",
@@ -33,15 +33,16 @@ GOOD = [
 
 
 def docs(spark):
-    langs = [*PROSE, None]
-    rows = [(i, t, langs[i % 5]) for i, t in enumerate(GOOD * 5)]
-    rows += [(1000 + i, t, langs[i % 5]) for i, t in enumerate(JUNK)] + [(2000, None, "en"), (0, GOOD[0], "en")]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({"n_words": F.lit(-1), "prose_share": F.lit(0.5), "t": F.lit("x")})
+    labels = ["en", "de", "es", "fr", "en", "en", None, "fr", "en"]
+    rows = [(100 * k + i, t, labels[i]) for k in range(60) for i, t in enumerate(GOOD[:-1])] + [(8, GOOD[-1], "en")]
+    rows += [(10_000 + i, t, [*PROSE, None][i % 5]) for i, t in enumerate(JUNK)] + [(20_000, None, "en"), (0, GOOD[0], "en")]
+    clash = {"n_words": F.lit(-1), "common_share": F.lit(0.5), "t": F.lit("x"), "key": F.lit(1)}
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns(clash)
 
 
 def test_prose_and_junk(spark):
     out = flags(statistics(docs(spark))).collect()
-    assert {r.doc_id for r in out if r.junk} == {*range(1000, 1000 + len(JUNK)), 2000}
+    assert {r.doc_id for r in out if r.junk} == {*range(10_000, 10_000 + len(JUNK)), 20_000}
     assert len(out) == docs(spark).count()
 
 
@@ -56,7 +57,7 @@ def test_languages_with_much_junk(spark):
 def test_every_statistic_is_scored(spark):
     rows = [(i, PROSE["en"] * (1 + i % 7), "en") for i in range(70)] + [(100, "!!! ??? ---", "en"), (101, "w" * 70, "en"), (102, PROSE["en"] * 3000, "en")]
     out = {r.doc_id: r for r in flags(statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string"))).collect()}
-    names = ("n_words", "mean_word", "symbol_share", "end_share", "common_share", "prose_share", "repeat_share")
+    names = STATISTICS
     assert all(out[i][f"z_{s}"] is not None for i in out for s in names)
     assert out[100].z_symbol_share > 5 and out[101].z_mean_word > 5 and out[102].z_n_words > 5 and out[100].z_n_words < -5
     median = sorted(r.mean_word for r in out.values())[len(out) // 2]
@@ -68,10 +69,30 @@ def test_statistics(spark):
     a, b = sorted(statistics(df).collect(), key=lambda r: r.doc_id)
     assert a.n_words == 6 and abs(a.mean_word - 17 / 6) < 1e-9 and a.end_share == 0.5
     assert abs(a.symbol_share - 2 / 19) < 1e-9 and abs(a.common_share - 3 / 6) < 1e-9 and abs(a.repeat_share - 1 / 6) < 1e-9
-    assert b.n_words == 0 and b.prose_share == 0.0 and b.symbol_share == 0.0
+    assert b.n_words == 0 and b.common_share == 0.0 and a.short_share == 1.0 and b.symbol_share == 0.0
     assert flags(statistics(df.limit(0))).count() == 0
 
 
+def test_sketches_decide(spark):
+    # the same text is junk in a language of dense prose and none in one of sparse prose: only the sketches differ
+    dense, sparse = [0.5 + i / 10_000 for i in range(400)], [0.2 + i / 10_000 for i in range(400)]
+    base = {"n_words": 100, "mean_word": 5.0, "symbol_share": 0.02, "end_share": 1.0, "short_share": 0.0, "repeat_share": 0.3}
+    rows = [(i, lang, x, *base.values()) for lang, xs in (("a", dense), ("b", sparse)) for i, x in enumerate([*xs, 0.19])]
+    stats = spark.createDataFrame(rows, ["doc_id", "lang", "common_share", *base])
+    own = {lang: {r.doc_id for r in flags(stats.filter(F.col("lang") == lang)).collect() if r.junk} for lang in "ab"}
+    assert own == {"a": {400}, "b": set()}
+
+
+def test_a_language_of_mostly_junk(spark):
+    # nine in ten Spanish documents are junk: its own distribution says nothing about prose, that of all languages does
+    rows = [(i, PROSE["en"] + f" {i}", "en") for i in range(300)] + [(1000 + i, JUNK[i % 6], "es") for i in range(180)]
+    rows += [(2000 + i, PROSE["es"] + f" {i}", "es") for i in range(20)]
+    out = flags(statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string"))).collect()
+    assert {r.doc_id for r in out if r.junk} == set(range(1000, 1180))
+    ref = references(sketch(statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string")), ["common_share"]))
+    assert {r.lang: round(r.centre, 2) > 0.3 for r in ref.collect()} == {"en": True, "es": True}
+
+
 def test_sketches_merge_and_bound_the_error(spark):
     df = spark.range(1000).selectExpr("id", "'en' lang", "(id / 1000.0) * (id / 1000.0) x")
     whole = sketch(df, ["x"])

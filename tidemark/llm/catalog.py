@@ -62,28 +62,32 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items").select("item_id", "text"))
 
 
+#: The vocabulary in which sizes are counted; its content is sent to the executors.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def _sizes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Documents with their tokens, counted once, and the mixing plan."""
-    docs = durable(count_tokens(table(spark, sf, "documents").select("doc_id", "source", "text"), keep=["doc_id", "source"]))
+    docs = durable(count_tokens(table(spark, sf, "documents").select("doc_id", "source", "text"), VOCABULARY, keep=["doc_id", "source"]))
     sizes = docs.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    return docs, source_plan(sizes, table(spark, sf, "mix_targets"))
-
-
-def p9_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Sources that cannot reach their share within their repeats."""
-    return _sizes(spark, sf)[1].filter("short").select("source")
+    return docs, durable(source_plan(sizes, table(spark, sf, "mix_targets")))
 
 
 def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     """Target shares and the shares reached by the replicated documents."""
     docs, plan = _sizes(spark, sf)
-    return reached(docs, durable(plan), "doc_id")
+    return reached(docs, plan, "doc_id")
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources whose replicated documents, each used as often as allowed, hold less than their share."""
+    return p9_shares(spark, sf).filter("short").select("source")
 
 
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
     """The mixture itself: every copy of every document, globally shuffled."""
-    plan = durable(_sizes(spark, sf)[1])
-    return replicate(table(spark, sf, "documents").select("doc_id", "source", "text"), plan, "doc_id")
+    sized, plan = _sizes(spark, sf)
+    return replicate(table(spark, sf, "documents").select("doc_id", "source", "text"), sized, plan, "doc_id")
 
 
 def p10_statistics(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,7 +120,28 @@ _P6 = """
     quantile_cont(CAST(negative_count AS DOUBLE), 0.97) AS p97, quantile_cont(CAST(negative_count AS DOUBLE), 0.99) AS p99
   FROM negative_articles_summary WHERE negative_count IS NOT NULL GROUP BY company, article_type
 """
+#: Words stand for tokens: any common way of counting names the same sources.
+_P9 = """
+  WITH sizes AS (
+    SELECT source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\\s]+'))) AS tokens FROM documents GROUP BY source
+  ), total AS (SELECT sum(tokens) AS tokens FROM sizes)
+  SELECT t.source FROM mix_targets t LEFT JOIN sizes s ON s.source = t.source, total
+  WHERE coalesce(s.tokens, 0) * t.max_repeats < t.target_share * total.tokens
+"""
+#: Folding as in the operator: accents and the invisible characters met in feeds do not count.
+_P8 = r"""
+  WITH folded AS (
+    SELECT kind, id, list_filter(regexp_split_to_array(
+        regexp_replace(replace(strip_accents(lower(nfc_normalize(t))), 'ß', 'ss'), '[\p{M}\p{Cf}]+', '', 'g'), '[^\p{L}\p{N}]+'), lambda x: x != '') AS w
+    FROM (SELECT 0 AS kind, doc_id AS id, text AS t FROM documents UNION ALL SELECT 1, item_id, text FROM eval_items) u WHERE t IS NOT NULL
+  ), spans AS (
+    SELECT kind, id, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(list_slice(w, i, i + 12), ' '))) AS span FROM folded WHERE len(w) >= 13
+  )
+  SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM spans d JOIN spans i ON d.span = i.span AND d.kind = 0 AND i.kind = 1
+"""
 ORACLES = {
+    "p8_found": _P8,
+    "p9_found": _P9,
     "p6_quantiles": _P6,
     "p6_found": f"""SELECT c.id AS company_id, q.article_type FROM ({_P6}) q JOIN companies c ON c.name = q.company
                     WHERE q.n >= 14 AND q.p97 >= 7 * q.p50""",

@@ -5,7 +5,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.moments import choose_clocks, read_moments, resolve, zone_evidence
+from tidemark.operators.moments import offset_histories, place, read_moments, resolve, zone_evidence
 
 RUN = dt.datetime(2025, 6, 1, 12, 0, 0, 250_000, dt.timezone.utc)
 
@@ -82,7 +82,33 @@ def test_zone_estimate(spark):
     df = spark.createDataFrame(rows, "source string, text string, seen timestamp")
     ev = zone_evidence(read_moments(df, "text").select("source", "m", "seen"), ["UTC", "America/New_York", "Europe/Berlin", "Asia/Tokyo"])
     none = spark.createDataFrame([("tk", "Europe/Berlin")], "source string, tz string")
-    got = {r.source: r for r in choose_clocks(ev, none).collect()}
-    assert got["ny"].estimate == "America/New_York" == got["ny"].zone
-    assert got["tk"].estimate == "Asia/Tokyo" and got["tk"].zone == "Europe/Berlin"
-    assert got[None].estimate == "UTC"
+    got = {r.source: r for r in offset_histories(ev, none).collect()}
+    assert got["ny"].zone == "America/New_York" and got["ny"].declared is None and got["ny"].since is None and got["ny"].until is None
+    # the evidence outweighs a declaration that the readings contradict
+    assert got["tk"].zone == "Asia/Tokyo" and got["tk"].declared == "Europe/Berlin"
+    assert got[None].zone == "UTC"
+
+
+def test_equal_errors_keep_the_declared_clock(spark):
+    rows = [("p", f"2025-0{1 + d % 9}-10 12:00:00", dt.datetime(2025, 1 + d % 9, 20)) for d in range(40)]
+    df = spark.createDataFrame(rows, "source string, text string, seen timestamp")
+    ev = zone_evidence(read_moments(df, "text").select("source", "m", "seen"), ["UTC", "Europe/Berlin", "Europe/Paris"])
+    for tz in ("Europe/Paris", "Europe/Berlin"):
+        assert [r.zone for r in offset_histories(ev, spark.createDataFrame([("p", tz)], "source string, tz string")).collect()] == [tz]
+    assert [r.zone for r in offset_histories(ev, spark.createDataFrame([], "source string, tz string")).collect()] == ["UTC"]
+
+
+def test_a_source_that_moves(spark):
+    # stated offsets tell that the desk went from Tokyo to New York in July; open readings follow
+    rows = [(m * 100 + d, "x", f"2025-{m:02d}-{d:02d}T12:00:00{'+09:00' if m < 7 else '-04:00'}") for m in range(4, 11) for d in range(1, 9)]
+    rows += [(m * 100 + 50, "x", f"2025-{m:02d}-10 12:00:00") for m in (1, 5, 9, 10)] + [(1, "y", "2025-05-10 12:00:00"), (2, None, "2025-05-10 12:00:00")]
+    df = spark.createDataFrame(rows, "i int, source string, text string").withColumns({"since": F.lit(1), "zone": F.lit("Mars"), "seen": F.lit(None).cast("timestamp")})
+    read = read_moments(df, "text").drop("zone", "since")
+    declared = spark.createDataFrame([("x", "Asia/Tokyo"), ("y", "Europe/Berlin"), (None, "Asia/Tokyo")], "source string, tz string")
+    history = offset_histories(zone_evidence(read, ["UTC", "Asia/Tokyo", "America/New_York", "Europe/Berlin"]), declared)
+    assert [(r.zone, r.since, r.until) for r in sorted(history.filter("source = 'x'").collect(), key=lambda r: str(r.until))] == [
+        ("Asia/Tokyo", None, dt.date(2025, 7, 1)), ("America/New_York", dt.date(2025, 7, 1), None)
+    ]
+    got = {r.i: r.e for r in place(read, history, declared).select("i", resolve(F.col("m"), F.col("zone")).alias("e")).collect()}
+    assert got[150] == ms(2025, 1, 10, 3) and got[550] == ms(2025, 5, 10, 3) and got[950] == ms(2025, 9, 10, 16) and got[1050] == ms(2025, 10, 10, 16)
+    assert got[1] == ms(2025, 5, 10, 10) and got[2] == ms(2025, 5, 10, 12) and len(got) == len(rows)

@@ -4,17 +4,26 @@ A value is first read as clock fields, with its zone if it states one. Values
 without a zone need their source's clock. ``zone_evidence`` weighs every
 candidate zone of every source: a zone errs where its offset differs from one
 that the source itself wrote at that time, and where it would put a moment after
-the record's ingestion. ``choose_clocks`` takes the zone with the fewest errors;
-a declared clock outweighs any evidence. Everything is built-in expressions; the
-conversions follow the zone's own history of offsets.
+the record's ingestion. ``offset_histories`` takes for each source the history of
+zones with the fewest errors, a source being free to move from one zone to
+another; a declared clock is the prior that decides between histories of equal
+errors. Readings are converted by these histories, and within a zone by its own
+history of offsets. Readings and conversions are built-in expressions; only the
+search over a source's few months and zones is Python.
 """
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import squeeze
+from tidemark.session import small
+
+if TYPE_CHECKING:  # loaded in the workers only
+    import pandas as pd
 
 #: Zone abbreviations in the feeds and their offsets in minutes.
 ABBREVIATIONS = {
@@ -155,7 +164,7 @@ def resolve(moment: Column, zone: Column) -> Column:
 
 
 def zone_evidence(rows: DataFrame, zones: list[str]) -> DataFrame:
-    """``(source, zone, errors, told)``: how often each candidate zone contradicts a source.
+    """``(source, period, zone, errors, told)``: how often each candidate zone contradicts a source in each calendar month.
 
     ``rows`` has ``source``, ``m`` (of ``read_moments``) and ``seen`` (timestamp of
     ingestion, may be null). Stated offsets other than 0 are the source's own
@@ -193,8 +202,8 @@ def zone_evidence(rows: DataFrame, zones: list[str]) -> DataFrame:
         F.col("lag") * 15 + 15 + shift < 0
     )
     return (
-        facts.select("source", "zone", "n", "off", wrong.alias("wrong"))
-        .groupBy("source", "zone")
+        facts.select("source", F.trunc(F.col("at").cast("date"), "month").alias("period"), "zone", "n", "off", wrong.alias("wrong"))
+        .groupBy("source", "period", "zone")
         .agg(
             F.sum(F.when(F.col("wrong"), F.col("n")).otherwise(0)).alias("errors"),
             F.sum(F.when(F.col("off").isNotNull(), F.col("n")).otherwise(0)).alias("told"),
@@ -202,21 +211,70 @@ def zone_evidence(rows: DataFrame, zones: list[str]) -> DataFrame:
     )
 
 
-def choose_clocks(evidence: DataFrame, declared: DataFrame, default: str = "UTC") -> DataFrame:
-    """``(source, zone, estimate, declared, errors)`` for each source of ``evidence``.
+#: Errors that one more move of a source must spare: stray readings move no source.
+MOVE_COST = 5
+
+
+def _history(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The cheapest path of one source through its months: errors and moves first, then months off the prior zone."""
+    import numpy as np
+    import pandas as pd
+
+    errors = pdf.pivot_table(index="period", columns="zone", values="errors", aggfunc="sum", fill_value=0).sort_index()
+    prior = pdf["prior"].iloc[0]
+    zones = sorted(errors.columns, key=lambda z: (z != prior, z))
+    cost = errors[zones].to_numpy(np.int64)
+    other = np.array([z != prior for z in zones], np.int64)
+    # one number for both: months off the prior are fewer than ``unit``
+    unit = len(cost) + 1
+    total, came = cost[0] * unit + other, []
+    for row in cost[1:]:
+        stay, jump = np.arange(len(zones)), int(total.argmin())
+        moved = total > total[jump] + MOVE_COST * unit
+        came.append(np.where(moved, jump, stay))
+        total = np.where(moved, total[jump] + MOVE_COST * unit, total) + row * unit + other
+    path = [int(total.argmin())]
+    for back in reversed(came):
+        path.append(int(back[path[-1]]))
+    path.reverse()
+    told = pdf.groupby("period")["told"].max().sort_index().to_numpy()
+    starts = [0, *(i for i in range(1, len(path)) if path[i] != path[i - 1])]
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(path)], strict=True):
+        since = errors.index[a] if a else None
+        until = errors.index[b] if b < len(path) else None
+        out.append((pdf["source"].iloc[0], since, until, zones[path[a]], prior, int(cost[a:b, path[a]].sum()), int(told[a:b].sum())))
+    return pd.DataFrame(out, columns=["source", "since", "until", "zone", "prior", "errors", "told"])
+
+
+def offset_histories(evidence: DataFrame, declared: DataFrame, default: str = "UTC") -> DataFrame:
+    """``(source, since, until, zone, declared, errors, told)``: the zones each source of ``evidence`` used, in order of time.
 
-    ``estimate`` is the zone with the fewest errors (ties: first by name, but
-    ``default`` before all). ``zone`` is the declared clock where ``declared``
-    (``source, tz``) lists the source, else the estimate.
+    A zone holds for readings from the month ``since`` (null: from ever) to before
+    the month ``until`` (null: for ever). A source's history is the one with the
+    fewest errors, a move counting as ``MOVE_COST`` of them; among equal histories
+    the one that keeps longest to the zone of ``declared`` (``source, tz``), or to
+    ``default`` for a source that is not listed there. A source has as many rows
+    as months and zones, however many readings it has.
     """
-    best = evidence.groupBy("source").agg(
-        F.min(F.struct("errors", F.col("zone") != default, "zone")).alias("b"), F.max("told").alias("told")
-    )
-    return best.join(declared.select("source", F.col("tz").alias("declared")), "source", "left").select(
-        "source",
-        F.coalesce("declared", "b.zone").alias("zone"),
-        F.col("b.zone").alias("estimate"),
-        "declared",
-        F.col("b.errors").alias("errors"),
-        "told",
-    )
+    listed = declared.filter("source is not null").groupBy("source").agg(F.min("tz").alias("tz")).withColumnRenamed("source", "listed")
+    joined = evidence.join(small(listed), F.col("source") == F.col("listed"), "left")
+    rows = joined.select("source", "period", "zone", "errors", "told", F.coalesce("tz", F.lit(default)).alias("prior"))
+    kind = "source string, since date, until date, zone string, prior string, errors bigint, told bigint"
+    found = rows.groupBy("source").applyInPandas(_history, kind)
+    named = found.join(small(listed), F.col("source") == F.col("listed"), "left")
+    return named.select("source", "since", "until", "zone", F.col("tz").alias("declared"), "errors", "told")
+
+
+def place(readings: DataFrame, histories: DataFrame, declared: DataFrame, default: str = "UTC") -> DataFrame:
+    """``readings`` (``source, m``) with ``zone``, the one their source used at the time of the reading.
+
+    A source without a history uses its declared zone, else ``default``. Each
+    reading comes out once.
+    """
+    month = F.trunc(F.col("m.local").cast("date"), "month")
+    h = histories.select(F.col("source").alias("h_source"), "since", "until", F.col("zone").alias("h_zone"))
+    d = declared.filter("source is not null").groupBy("source").agg(F.min("tz").alias("d_zone")).withColumnRenamed("source", "d_source")
+    within = (F.col("since").isNull() | (month >= F.col("since"))) & (F.col("until").isNull() | (month < F.col("until")))
+    joined = readings.join(small(h), F.col("source").eqNullSafe(F.col("h_source")) & within, "left").join(small(d), F.col("source") == F.col("d_source"), "left")
+    return joined.select(readings["*"], F.coalesce("h_zone", "d_zone", F.lit(default)).alias("zone"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.drift import schema_changes, unified
-from tidemark.operators.moments import choose_clocks, read_moments, resolve, zone_evidence
+from tidemark.operators.moments import offset_histories, place, read_moments, resolve, zone_evidence
 from tidemark.operators.packed import ADDRESS_DELIMITERS, unpack
 from tidemark.operators.rolling import trailing
 from tidemark.session import durable, small, table
@@ -116,27 +116,29 @@ def _readings(spark: SparkSession, sf: str) -> DataFrame:
     return durable(read.select("table_name", "row_id", "source", "m", "seen"))
 
 
+#: Zones of the list of sources; each is a candidate for every source.
+MAX_ZONES = 1000
+
+
 def _clocks(spark: SparkSession, sf: str, readings: DataFrame) -> DataFrame:
     declared = table(spark, sf, "news_sources").select("source", "tz")
-    # The candidates are the zones of the list, whose size is fixed.
-    zones = sorted({r.tz for r in declared.select("tz").distinct().limit(1000).collect()} | {"UTC"})
-    # A source that the list lacks keeps UTC by definition; the evidence is still weighed for the report.
-    return choose_clocks(zone_evidence(readings, zones), small(declared))
+    zones = [r.tz for r in declared.filter("tz is not null").select("tz").distinct().limit(MAX_ZONES + 1).collect()]
+    if len(zones) > MAX_ZONES:
+        raise ValueError(f"more than {MAX_ZONES} zones are listed")
+    # A few rows a source; kept, as the check of their size and the join both read them.
+    return durable(offset_histories(zone_evidence(readings, sorted({*zones, "UTC"})), declared))
 
 
 def p5_zones(spark: SparkSession, sf: str) -> DataFrame:
-    """Per source: the clock in use, the estimate from the data and the declared one."""
+    """Per source: the zones in use over time, as estimated from the data, with the declared one."""
     return _clocks(spark, sf, _readings(spark, sf))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Every value that names a moment, in milliseconds since 1970."""
+    """Every value that names a moment, in milliseconds since 1970, by the estimated clock of its source."""
     readings = _readings(spark, sf)
-    clocks = _clocks(spark, sf, readings).select("source", F.when(F.col("declared").isNotNull(), F.col("zone")).alias("zone"))
-    # One row a source; the list of sources is checked before it is sent to the executors.
-    placed = readings.join(small(clocks), "source", "left")
-    ms = resolve(F.col("m"), F.coalesce("zone", F.lit("UTC")))
-    return placed.select("table_name", "row_id", ms.alias("epoch_ms")).filter("epoch_ms is not null")
+    placed = place(readings, _clocks(spark, sf, readings), table(spark, sf, "news_sources").select("source", "tz"))
+    return placed.select("table_name", "row_id", resolve(F.col("m"), F.col("zone")).alias("epoch_ms")).filter("epoch_ms is not null")
 
 
 QUERIES = {

@@ -4,7 +4,7 @@ import json
 
 import pandas as pd
 
-from tidemark.operators.drift import flood, schema_changes, unified
+from tidemark.operators.drift import LEAST_SCORE, flood, schema_changes, unified
 
 
 def files(spark, *contents):
@@ -60,15 +60,47 @@ def test_unified(spark):
     assert got[6].extra["other"] == "o"
 
 
+def pairs(*rows):
+    """(old name, new name, old kind, new kind, old nested, new nested, agreement)"""
+    return pd.DataFrame(rows, columns=["old_name", "field_name", "old_kind", "new_kind", "old_nested", "new_nested", "agree"])
+
+
 def test_flooding_prefers_like_names():
-    pairs = pd.DataFrame(
-        {
-            "name_sim": [0.5, 0.0, 0.0, 0.5],
-            "value_sim": [1.0, 1.0, 1.0, 1.0],
-            "nested_sim": [0.0] * 4,
-            "old_kind": ["number"] * 4,
-            "new_kind": ["number"] * 4,
-        }
-    )
-    s = flood(pairs)
-    assert s[0] > s[1] and s[3] > s[2] and abs(s.max() - 1) < 1e-9
+    s = flood(pairs(*[(a, b, "number", "number", None, None, 0.9) for a in ("neg", "neutral") for b in ("negatives", "neutral_count")]))
+    assert s[0] > s[1] and s[3] > s[2] and max(s) < 1
+
+
+def test_flooding_spreads_over_kinds_and_nested_names():
+    lone = flood(pairs(("a", "zz", "object", "object", None, None, None)))[0]
+    # nested names that match lift a pair about whose values nothing is known
+    assert flood(pairs(("a", "zz", "object", "object", ["id", "label"], ["id", "label"], None)))[0] >= LEAST_SCORE > lone
+    # a pair of the same kinds that agrees lifts its neighbour through the node of their kinds
+    beside = flood(pairs(("a", "zz", "object", "object", None, None, None), ("b", "b2", "object", "object", None, None, 1.0)))[0]
+    assert beside > lone
+    # the agreement of one stray line is not enough, disagreement outweighs a like name
+    assert flood(pairs(("a", "zz", "string", "string", None, None, 0.5)))[0] < LEAST_SCORE
+    assert flood(pairs(("theme", "themes", "string", "string", None, None, 0.0)))[0] < LEAST_SCORE
+
+
+def test_flooding_decides(spark, monkeypatch):
+    # no line is in both files: only names and kinds, settled by flooding, tell the rename from the loss
+    a = lines(4, headline_topic=lambda i: f"t{i}", n=lambda i: i)
+    b = [{"url": f"w{i}", "headline_topics": f"s{i}", "q": [i]} for i in range(4)]
+    want = {(2, "renamed", "headline_topics", "headline_topic"), (2, "removed", "n", ""), (2, "added", "q", "")}
+    assert {tuple(r) for r in schema_changes(files(spark, a, b)).collect()} == want
+    # without the flooded score nothing is renamed
+    assert {r.change_kind for r in schema_changes(files(spark, a, b), least=2.0).collect()} == {"removed", "added"}
+
+
+def test_few_common_lines(spark):
+    a = lines(2, topic=lambda i: f"t{i}")
+    b = lines(2, zzz=lambda i: f"t{i}") + [{"url": f"w{i}", "zzz": "x"} for i in range(5)]
+    assert {tuple(r) for r in schema_changes(files(spark, a, b)).collect()} == {(2, "renamed", "zzz", "topic")}
+
+
+def test_clashing_names_and_lines_without_key(spark):
+    a = [{"Url": "u", "url": "v", "A": 1, "a": 2}, {"x": 1}, {"x": 2}]
+    b = [{"url": "v", "A": 1, "y": 1}, {"y": 1}, {"y": None}]
+    got = schema_changes(files(spark, a, b)).collect()
+    assert {r.change_kind for r in got} <= {"removed", "added", "renamed"} and got
+    assert unified(files(spark, a, b), {"a": "bigint"}).count() == 6

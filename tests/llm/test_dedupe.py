@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.llm.dedupe import append_batch, build, canonical_link, components, pivot_table, repeats, story_groups
+from tidemark.llm import dedupe
+from tidemark.llm.dedupe import append_batch, articles_index, canonical_link, choose_pivots, components, find_repeats, new_store
 
 SAME_PAGE = [
     ("https://www.a.example/news/x-1", "http://A.EXAMPLE//news/x-1/?utm_source=f&gclid=3#top"),
@@ -51,25 +52,63 @@ def table(spark, rows=ROWS):
     return df.withColumns({"node": F.lit(1), "text": F.lit("x"), "words": F.lit(0), "turn": F.lit(0), "tail": F.lit("t")})
 
 
-def test_groups(spark):
+def found(df, **more):
+    return {(r.id_a, r.id_b) for r in find_repeats(df, order=("batch_no", "id"), **more).collect()}
+
+
+WANT = {(r[5], r[0]) for r in ROWS if r[5] != r[0]}
+
+
+def test_batches_against_history(spark):
     sources = spark.createDataFrame([("Fovedan Post",), (None,)], "source string")
-    index, _ = pivot_table(table(spark), order=["batch_no", "id"], sources=sources)
-    got = {r.id_b: r.id_a for r in repeats(story_groups(index)).collect()}
-    assert got == {r[0]: r[5] for r in ROWS if r[5] != r[0]}
-    assert story_groups(index.limit(0)).count() == 0
+    assert found(table(spark), sources=sources, batch="batch_no") == WANT
+    assert found(table(spark).limit(0), batch="batch_no") == set()
+    # one batch of all articles gives the same as batch after batch
+    assert found(table(spark), sources=sources) == WANT
+
+
+def test_the_stored_table_decides(spark, monkeypatch):
+    # pivots that prune everything: near titles are found through the table or not at all
+    monkeypatch.setattr(dedupe, "RADIUS", -1)
+    assert found(table(spark), batch="batch_no") == WANT - {(1, 7)}
+
+
+def test_a_large_batch_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "BROADCAST_BATCH", 0)
+    assert found(table(spark), batch="batch_no") == WANT
+
+
+def test_a_batch_reads_its_ranges_only(spark):
+    rng = random.Random(1)
+    rows = [(i, 0, f"https://p.example/{i}", " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(2 + i % 12)), None) for i in range(300)]
+    index = articles_index(table(spark, rows), order=("batch_no", "id"), batch="batch_no")
+    store = new_store(spark, choose_pivots(index))
+    append_batch(store, index, 0, 300)
+    before = store.facts().count()
+    new = articles_index(table(spark, [(900, 1, None, rows[5][3].replace(" ", "x ", 1), None)]), order=("batch_no", "id"), batch="batch_no")
+    edges = append_batch(store, new, 1, 1).collect()
+    assert {(e.kind, e.node_b) for e in edges} == {("n", index.filter("id = 5").first().node)}
+    parts = [r.part for r in store.facts().filter("kind = 'n' and batch = 1").select("part").distinct().collect()]
+    # the ranges that the new title and its neighbours fall in hold a small part of the history
+    reach = store.facts().filter("kind = 'n' and batch = 0").filter(F.col("part").between(min(parts) - 1, max(parts) + 1)).count()
+    assert 0 < reach < before / 4
+    store.drop()
+
+
+def test_names_known_later(spark):
+    # in capitals nothing tells names apart; the copy that comes later does
+    base = "{} plans wider offer for northern depots of the city"
+    rows = [(1, 0, None, base.format("Kadro").upper(), None), (2, 0, None, base.format("Kadra").upper(), None), (3, 1, None, base.format("Kadro the maker").replace(" the maker", ""), None)]
+    one = [(r[0], r[1], r[2], "Talks on " + r[3] if r[0] == 3 else "TALKS ON " + r[3], r[4]) for r in rows]
+    assert found(table(spark, one), batch="batch_no") == {(1, 3)}
 
 
-def test_appending_equals_one_pass(spark):
-    sources = spark.createDataFrame([("Fovedan Post",)], "source string")
-    df = table(spark)
-    first, pivots = pivot_table(df.filter("batch_no = 0"), order=["batch_no", "id"], sources=sources)
-    history, found = build(first), set()
-    for b in (1, 2):
-        rows, _ = pivot_table(df.filter(F.col("batch_no") == b), pivots, order=["batch_no", "id"], sources=sources)
-        pairs, history = append_batch(history, rows)
-        found |= {(r.id_a, r.id_b) for r in pairs.collect()}
-    assert found == {(r[5], r[0]) for r in ROWS if r[5] != r[0]}
-    assert history.count() == len(ROWS)
+def test_hot_groups(spark):
+    # one page and one title with many copies, and many titles that differ in one word
+    rows = [(i, i % 3, "https://hot.example/a", f"W{i} ordinary words about nothing at all", None) for i in range(150)]
+    rows += [(1000 + i, i % 3, f"https://x.example/{i}", "The very same title for all of them here", None) for i in range(150)]
+    got = found(table(spark, rows), batch="batch_no")
+    assert got == {(0, i) for i in range(1, 150)} | {(1000, 1000 + i) for i in range(1, 150)}
 
 
 def test_titles_cut_by_many_words(spark):
@@ -81,8 +120,7 @@ def test_titles_cut_by_many_words(spark):
         (4, 1, "https://p.example/4", "Court hears Brabralis plea…", None),
         (5, 1, "https://p.example/5", whole.rsplit(" ", 1)[0] + "...", None),
     ]
-    index, _ = pivot_table(table(spark, rows), order=["batch_no", "id"])
-    assert {(r.id_a, r.id_b) for r in repeats(story_groups(index)).collect()} == {(1, 2), (1, 3), (1, 5)}
+    assert found(table(spark, rows), batch="batch_no") == {(1, 2), (1, 3), (1, 5)}
 
 
 def test_components(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.dedupe import pivot_table, repeats, story_groups
+from tidemark.llm.dedupe import find_repeats
 from tidemark.llm.leakage import leaks
 from tidemark.llm.mixing import count_tokens, reached, replicate, source_plan
 from tidemark.llm.quality import flags, statistics
@@ -49,11 +49,9 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Articles of later batches that repeat an earlier one."""
+    """Articles of later batches that repeat an earlier one; batches are appended to a stored pivot table one after the other."""
     sources = table(spark, sf, "news_sources").select("source")
-    articles = table(spark, sf, "articles").select("id", "url", "title", "publisher", "batch_no")
-    index, _ = pivot_table(articles, order=["batch_no", "id"], sources=sources)
-    found = repeats(story_groups(durable(index)))
+    found = find_repeats(table(spark, sf, "articles"), order=("batch_no", "id"), batch="batch_no", sources=sources)
     return found.filter("turn.o0 >= 1").select("id_a", "id_b")
 
 

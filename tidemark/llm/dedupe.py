@@ -1,29 +1,45 @@
 """New batches checked for duplicates and near-duplicates against all history.
 
 An article's link and title are brought to a canonical form. Equal forms are
-found by grouping. Near titles are found by a pivot-distance table: every
-distinct canonical title stores its edit distances to a few fixed pivot titles;
-by the triangle inequality two titles within ``RADIUS`` edits differ by at most
-that from any pivot. Titles are range-partitioned by their distance to the first
-pivot and joined only within a range and its neighbours, among titles that agree
-on figures and on one half of their words (a slip of the pen touches one word);
-the other pivots prune what is left; the true distance and the rules for names
-decide. Rows of accepted batches are appended to the table and never read again
-in full: a batch meets the table through its join keys.
+found by grouping. Near titles are found by a stored pivot-distance table: for
+each distinct canonical title it holds the edit distances to a few fixed, far-apart
+pivot titles, and lies in ranges of the first of them. By the triangle inequality
+two titles within ``RADIUS`` edits differ by at most that from any pivot. A new
+batch reads the ranges its titles and their neighbours fall in, meets there the
+titles that agree with it in all words but one (a slip of the pen touches one),
+is pruned by the other pivots, and verified by the true distance of the words
+that differ. Its rows are then appended; rows of earlier batches are never
+written, canonicalised or keyed again, and if the batch is small they are not
+shuffled either.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import TYPE_CHECKING
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.text import fold, squeeze, unescape_html
 from tidemark.llm.resolve import one_edit
-from tidemark.session import durable, small
+from tidemark.session import drop_folder, durable, shared_folder, small
+
+if TYPE_CHECKING:  # loaded in the workers only
+    import pyarrow as pa
 
 RADIUS = 2
 BAND = 2 * RADIUS + 1
 PIVOTS = 4
+#: Titles of the history among which the pivots are chosen.
+PIVOT_SAMPLE = 64
+#: Rows of a batch whose keys are sent to the executors; those of a larger batch are shuffled.
+BROADCAST_BATCH = 50_000
+#: Batches of one run.
+MAX_BATCHES = 10_000
 #: A cut title keeps at least this many words; it may lack any number of the whole one's.
 MIN_CUT = 4
 
@@ -67,8 +83,8 @@ def canonical_link(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, F.lit("?"), F.array_join(own, "&")))
 
 
-def titled(df: DataFrame, key: str, title: str, publisher: str | None, sources: DataFrame | None) -> DataFrame:
-    """``(id, words, caps, cut)`` of each row's headline.
+def titled(df: DataFrame, keep: list[str], title: str, publisher: str | None, sources: DataFrame | None) -> DataFrame:
+    """``keep`` and ``(words, caps, cut)`` of each row's headline.
 
     ``words`` are its folded words without marks before it, the publisher after it
     and small words; ``caps`` tells which of them are written as names, null where
@@ -76,7 +92,7 @@ def titled(df: DataFrame, key: str, title: str, publisher: str | None, sources:
     publisher is the row's own or one of ``sources`` (``source``), a bounded list.
     """
     t = squeeze(unescape_html(F.coalesce(F.col(title), F.lit(""))))
-    base = df.select(F.col(key).alias("id"), t.alias("t"), (F.col(publisher) if publisher else F.lit(None).cast("string")).alias("pub"))
+    base = df.select(*keep, t.alias("t"), (F.col(publisher) if publisher else F.lit(None).cast("string")).alias("pub"))
     tail = F.lower(F.trim(F.regexp_extract("t", r"^.*\s[-–—|·]\s*([^|]{2,60})$", 1)))
     base = base.withColumn("tail", tail)
     mine = F.coalesce(F.col("tail") == F.lower(F.trim("pub")), F.lit(False))
@@ -86,20 +102,20 @@ def titled(df: DataFrame, key: str, title: str, publisher: str | None, sources:
         mine = mine | F.coalesce("known", F.lit(False))
     bare = F.when(mine & (F.col("tail") != ""), F.expr("rtrim(left(t, length(t) - length(tail)))")).otherwise(F.col("t"))
     bare = F.when(mine & (F.col("tail") != ""), F.regexp_replace(bare, r"\s*[-–—|·]\s*$", "")).otherwise(bare)
-    base = base.select("id", F.regexp_replace(bare, MARKS, "").alias("t"))
+    base = base.select(*keep, F.regexp_replace(bare, MARKS, "").alias("t"))
     cut = F.col("t").rlike(r"(?:\.{3,}|…)[\s.…]*$")
     # the gap of a number ("1,000" and "1000") is no word gap
     plain = F.regexp_replace("t", r"(?<=\d)[,.](?=\d)", "")
     pieces = F.filter(F.split(plain, r"[^\p{L}\p{N}\p{M}\p{Cf}]+"), lambda p: p != "")
     pairs = F.transform(pieces, lambda p: F.struct(fold(p).alias("w"), p.rlike(r"^\p{Lu}").alias("cap"), p.rlike(r"^\p{L}").alias("let")))
     kept = F.filter(pairs, lambda p: (p["w"] != "") & ~F.array_contains(F.array(*map(F.lit, SMALL_WORDS)), p["w"]))
-    base = base.select("id", cut.alias("cut"), pairs.alias("all"), kept.alias("kept"))
+    base = base.select(*keep, cut.alias("cut"), pairs.alias("all"), kept.alias("kept"))
     lows = F.size(F.filter("all", lambda p: p["let"] & ~p["cap"]))
     low_kept = F.size(F.filter("kept", lambda p: p["let"] & ~p["cap"]))
     ups = F.size(F.filter("kept", lambda p: p["cap"]))
     mixed = (lows > 0) & (low_kept > 0) & (ups > 0)
     return base.select(
-        "id",
+        *keep,
         F.transform("kept", lambda p: p["w"]).alias("words"),
         # the first word of a sentence is in capitals without being a name
         F.when(mixed, F.transform("kept", lambda p, i: p["cap"] & (i > 0))).alias("caps"),
@@ -107,109 +123,244 @@ def titled(df: DataFrame, key: str, title: str, publisher: str | None, sources:
     )
 
 
-def choose_pivots(titles: DataFrame, k: int = PIVOTS) -> list[str]:
-    """``k`` fixed titles, those with the least hashes: the same for the same history. Empty titles are no pivots."""
-    rows = titles.filter("text != ''").select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(k).collect()
-    return [r.text for r in rows]
-
+def articles_index(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("id",), batch: str | None = None, sources: DataFrame | None = None) -> DataFrame:
+    """``(id, turn, batch, link, node, words, caps, cut)`` of each article.
 
-def pivot_table(df: DataFrame, pivots: list[str] | None = None, key: str = "id", order: list[str] | None = None, sources: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
-    """The index rows of a batch: canonical link and title and the distances to the pivots.
-
-    Returns ``(id, turn, batched, link, text, words, caps, cut, figures, d0...)`` and the
-    pivots, which are chosen from ``df`` if none are given. ``turn`` is the order
-    of arrival, made of the columns ``order``.
+    ``turn`` is the order of arrival, made of the columns ``order``; ``node`` is the
+    hash of the canonical title, a row without title words being a node of its
+    own; ``batch`` is 0 where it is null or not given.
     """
-    order = order or [key]
     turn = F.struct(*(F.col(c).cast("bigint").alias(f"o{i}") for i, c in enumerate(order)))
-    links = df.select(F.col(key).alias("id"), turn.alias("turn"), canonical_link(F.col("url")).alias("link"))
+    number = F.coalesce(F.col(batch).cast("int"), F.lit(0)) if batch else F.lit(0)
     publisher = "publisher" if "publisher" in df.columns else None
-    t = titled(df, key, "title", publisher, sources)
-    rows = links.join(t, "id").withColumn("text", F.array_join("words", " ")).withColumn(
-        "figures", F.array_join(F.array_sort(F.filter("words", lambda w: w.rlike(r"\p{N}"))), " ")
+    known = [c for c in ("title", publisher) if c]
+    base = df.select(F.col(key).alias("id"), turn.alias("turn"), number.alias("batch"), canonical_link(F.col("url")).alias("link"), *known)
+    out = titled(base, ["id", "turn", "batch", "link"], "title", publisher, sources)
+    text = F.array_join("words", " ")
+    own = F.when(text != "", F.concat(F.when(F.col("cut"), "c").otherwise("w"), text)).otherwise(F.concat(F.lit("#"), F.col("id").cast("string")))
+    return out.withColumn("node", F.xxhash64(own))
+
+
+def _distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def choose_pivots(index: DataFrame, k: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> list[str]:
+    """``k`` titles far apart from each other, chosen among ``sample`` titles of least hash: the same for the same history.
+
+    Titles are taken up to 200 characters here, as any text may be a pivot; empty
+    titles are none. An empty history has the empty title as its pivots.
+    """
+    text = F.left(F.array_join("words", " "), F.lit(200))
+    rows = index.select(text.alias("text")).filter("text != ''").distinct().orderBy(F.xxhash64("text"), "text").limit(sample).collect()
+    texts = [r.text for r in rows]
+    chosen = texts[:1]
+    far = [_distance(t, chosen[0]) for t in texts] if texts else []
+    while chosen and len(chosen) < min(k, len(texts)):
+        chosen.append(texts[far.index(max(far))])
+        far = [min(f, _distance(t, chosen[-1])) for f, t in zip(far, texts, strict=True)]
+    return chosen + [""] * (k - len(chosen))
+
+
+#: Arithmetic of 64 bits for hashes of word sequences: a word's place is a power of an odd number.
+_WIDE, _ODD = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+
+def _mixed(h: int) -> int:
+    h = (h ^ (h >> 31)) * 0xBF58476D1CE4E5B9 & _WIDE
+    h = (h ^ (h >> 29)) * 0x94D049BB133111EB & _WIDE
+    h ^= h >> 32
+    return h - (1 << 64) if h >> 63 else h
+
+
+def title_keys(words: list[str], caps: list[bool] | None, cut: bool) -> Iterator[tuple[str, int | None, int, str, int | None]]:
+    """``(kind, part, key, word, at)`` of a title; see ``title_facts``. Takes time in proportion to the words."""
+    import xxhash
+
+    powers, value = [], 1
+    for _ in words:
+        powers.append(value)
+        value = value * _ODD & _WIDE
+    hashed = [xxhash.xxh64_intdigest(w) * p & _WIDE for w, p in zip(words, powers, strict=True)]
+    whole, begun = sum(hashed) & _WIDE, 0
+    for i, w in enumerate(words):
+        if i >= MIN_CUT - 1:
+            key = _mixed(begun + i * _ODD & _WIDE)
+            yield "h", i, key, w, None
+            if cut and i == len(words) - 1:
+                yield "c", i, key, w, None
+        begun = begun + hashed[i] & _WIDE
+        if len(words) < 2 or (caps is not None and caps[i]) or any(c.isnumeric() for c in w):
+            continue
+        rest = (whole - hashed[i]) * _ODD + i * len(words) & _WIDE
+        subs = [""] if len(w) <= 4 else []
+        if len(w) >= 4:
+            subs += ["<" + w[:2], ">" + w[-2:]]
+        for sub in subs:
+            yield "n", None, _mixed(rest ^ xxhash.xxh64_intdigest(sub)), w, i + 1
+
+
+def _title_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import pyarrow as pa
+
+    for batch in batches:
+        rows, found = [], []
+        columns = (batch.column(c).to_pylist() for c in ("words", "caps", "cut", "near"))
+        for i, (words, caps, cut, near) in enumerate(zip(*columns, strict=True)):
+            for kind, part, key, word, at in title_keys(words, caps, cut):
+                rows.append(i)
+                found.append((kind, near if part is None else part, key, word, at))
+        take = pa.array(rows, pa.int64())
+        kind, part, key, word, at = zip(*found, strict=True) if found else ((),) * 5
+        cols = [pa.array(kind, pa.string()), pa.array(part, pa.int32()), pa.array(key, pa.int64()), batch.column("node").take(take), batch.column("turn").take(take)]
+        cols += [pa.array(word, pa.string()), pa.array(at, pa.int32()), batch.column("d").take(take)]
+        yield pa.RecordBatch.from_arrays(cols, ["kind", "part", "key", "node", "turn", "word", "at", "d"])
+
+
+def title_facts(titles: DataFrame, pivots: list[str]) -> DataFrame:
+    """``(kind, part, key, node, turn, word, at, d)``: what a title is found by.
+
+    Kind ``n``, the pivot table, has rows for each ``word`` that a slip may touch:
+    ``key`` hashes all other words with the word's place ``at``, and the word's
+    first or last two letters, of which one edit leaves one pair intact (words of
+    up to four letters also come without); what many titles have in common is
+    split by the word itself. Words written as names and words with figures get
+    none. ``d`` holds the distances to the pivots, ``part`` is the range of the first.
+    Kind ``h`` has the beginnings of at least ``MIN_CUT - 1`` words, ``part`` being
+    their number, with the ``word`` that follows; ``c`` that of a title whose end was
+    cut off: its last word may be cut itself, so the words before it make its beginning.
+    """
+    d = F.array(*(F.levenshtein(F.array_join("words", " "), F.lit(p)) for p in pivots))
+    given = titles.select("node", "turn", "words", "caps", "cut", d.alias("d")).withColumn("near", F.floor(F.col("d")[0] / BAND).cast("int"))
+    turn = given.schema["turn"].dataType.simpleString()
+    return given.mapInArrow(_title_rows, f"kind string, part int, key bigint, node bigint, turn {turn}, word string, at int, d array<int>")
+
+
+@dataclass
+class Store:
+    """The accepted articles as written tables under ``path``: ``facts`` (pivot table, beginnings, links) and ``edges``."""
+
+    spark: SparkSession
+    path: str
+    pivots: list[str]
+    schema: StructType | None = None
+
+    def facts(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/facts")
+
+    def edges(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/edges")
+
+    def drop(self) -> None:
+        drop_folder(self.spark, self.path)
+
+
+def new_store(spark: SparkSession, pivots: list[str]) -> Store:
+    """An empty store in the session's shared folder."""
+    return Store(spark, f"{shared_folder(spark)}/articles-{uuid.uuid4().hex}", pivots)
+
+
+def append_batch(store: Store, rows: DataFrame, batch: int, n_rows: int) -> DataFrame:
+    """Checks the ``n_rows`` index rows of a batch against all that was accepted before, and appends it.
+
+    Returns the edges found, ``(kind, node_a, node_b, turn_b, at)``, which are kept in
+    the store as well. Copies of a title are one title here. Of the history only
+    the ranges of the pivot table and the lengths of beginnings that the batch
+    has are read. A batch that was appended before must not be appended again.
+    """
+    titles = rows.groupBy("node").agg(
+        F.min(F.struct("turn", "words", "cut")).alias("r"),
+        # the casing of the first copy that tells names apart
+        F.min(F.when(F.col("caps").isNotNull(), F.struct("turn", "caps"))).alias("c"),
     )
-    if pivots is None:
-        pivots = choose_pivots(rows)
-    pad = [*pivots, *[""] * (PIVOTS - len(pivots))]
-    return rows.select("*", *(F.levenshtein("text", F.lit(p)).alias(f"d{i}") for i, p in enumerate(pad))), pivots
-
-
-def _near(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``(node_a, node_b)`` of titles that tell the same story but for one slip in one common word."""
-    half = F.floor(F.size("words") / 2).cast("int")
-
-    def keyed(df: DataFrame) -> DataFrame:
-        n = F.size("words")
-        first = F.slice("words", 1, half)
-        second = F.slice("words", half + 1, n)
-        kinds = F.array(
-            F.xxhash64(F.lit(0), "figures", n, F.array_join(first, " ")), F.xxhash64(F.lit(1), "figures", n, F.array_join(second, " "))
-        )
-        return df.filter(n >= 2).withColumn("block", F.explode_outer(kinds))
-
-    cols = ["node", "words", "caps", "text", "figures", *(f"d{i}" for i in range(PIVOTS))]
-    left = keyed(a.select(*cols)).withColumn("band", F.floor(F.col("d0") / BAND))
-    # The range of a title and its neighbours within the radius: at most two bands.
-    bands = F.sequence(F.floor((F.col("d0") - RADIUS) / BAND), F.floor((F.col("d0") + RADIUS) / BAND))
-    right = keyed(b.select(*cols)).withColumn("band", F.explode_outer(bands))
-    right = right.select(*(F.col(c).alias(f"{c}_b") for c in cols), "block", "band")
+    titles = titles.select("node", "r.turn", "r.words", "r.cut", F.col("c.caps").alias("caps")).filter(F.size("words") >= 2)
+    none = F.lit(None)
+    links = rows.filter("link is not null").groupBy("link", "node").agg(F.min("turn").alias("turn"))
+    links = links.select(F.lit("l").alias("kind"), F.lit(0).alias("part"), F.xxhash64("link").alias("key"), "node", "turn", F.col("link").alias("word"), none.cast("int").alias("at"), none.cast("array<int>").alias("d"))
+    fresh = title_facts(titles, store.pivots).unionByName(links).withColumn("batch", F.lit(batch))
+    store.schema = fresh.schema
+    # Ranges of even size, however the titles spread over them.
+    fresh.hint("rebalance", "kind", "part").write.partitionBy("kind", "part").mode("append").parquet(f"{store.path}/facts")
+    facts = store.facts()
+    hint = F.broadcast if n_rows <= BROADCAST_BATCH else (lambda df: df)
+
+    def old(kind: str) -> DataFrame:
+        return facts.filter(F.col("kind") == kind).select(F.col("part"), "key", F.col("node").alias("node_b"), F.col("turn").alias("turn_b"), F.col("word").alias("word_b"), F.col("d").alias("d_b"), "batch")
+
+    def new(kind: str) -> DataFrame:
+        return facts.filter((F.col("kind") == kind) & (F.col("batch") == batch)).drop("kind", "batch")
+
+    # The range of a title and its neighbours within the radius: at most two ranges.
+    reach = F.sequence(F.floor((F.col("d")[0] - RADIUS) / BAND).cast("int"), F.floor((F.col("d")[0] + RADIUS) / BAND).cast("int"))
+    seek = new("n").drop("part").withColumn("part", F.explode_outer(reach))
     close = F.lit(True)
-    for i in range(PIVOTS):
-        close = close & (F.abs(F.col(f"d{i}") - F.col(f"d{i}_b")) <= RADIUS)
-    joined = left.join(right, ["block", "band"]).filter((F.col("node") != F.col("node_b")) & close & (F.col("figures") == F.col("figures_b")))
-    joined = joined.filter(F.levenshtein("text", "text_b", RADIUS) >= 0)
-    spots = F.filter(
-        F.sequence(F.lit(1), F.size("words")), lambda i: F.try_element_at("words", i) != F.try_element_at("words_b", i)
-    )
-    joined = joined.withColumn("spots", spots).filter((F.size("spots") == 1) & (F.size("words") == F.size("words_b")))
-    at = F.get("spots", F.lit(0))
-    x, y = F.try_element_at("words", at), F.try_element_at("words_b", at)
-    named = F.coalesce(F.try_element_at("caps", at), F.lit(False)) | F.coalesce(F.try_element_at("caps_b", at), F.lit(False))
-    ok = one_edit(x, y) & ~named & ~x.rlike(r"\p{N}") & ~y.rlike(r"\p{N}")
-    return joined.filter(ok).select(F.col("node").alias("node_a"), "node_b").distinct()
-
-
-def _cut_pairs(cut: DataFrame, whole: DataFrame) -> DataFrame:
-    """``(node_a, node_b, turn_b)``: titles whose end was cut off, and titles that go on where they stop."""
-    n = F.size("words")
-    # The last word of a cut title may be cut itself: the words before it must be equal.
-    short = cut.filter("cut").filter(n >= MIN_CUT).select(
-        F.col("node").alias("node_a"), (n - 1).alias("upto"), F.xxhash64(F.array_join(F.slice("words", 1, n - 1), " ")).alias("head"), F.try_element_at("words", F.lit(-1)).alias("last")
+    for i in range(len(store.pivots)):
+        close = close & (F.abs(F.col("d")[i] - F.col("d_b")[i]) <= RADIUS)
+    met = old("n").join(hint(seek), ["part", "key"]).filter((F.col("node") != F.col("node_b")) & close)
+    near = met.filter((F.col("word") != F.col("word_b")) & one_edit(F.col("word"), F.col("word_b")))
+
+    def goes_on(cut_word: str, word: str) -> Column:
+        return F.when(F.col(cut_word).rlike(r"\p{N}"), F.col(cut_word) == F.col(word)).otherwise(F.col(word).startswith(F.col(cut_word)))
+
+    cut = old("h").join(hint(new("c")), ["part", "key"]).filter((F.col("node") != F.col("node_b")) & goes_on("word", "word_b"))
+    # Cut titles of the history that a new title continues.
+    waiting = old("c").filter(F.col("batch") < batch).join(hint(new("h")), ["part", "key"]).filter((F.col("node") != F.col("node_b")) & goes_on("word_b", "word"))
+    # All titles of a page are tied to its earliest one: the same one for every later batch.
+    own = new("l").select("key", "word", "node")
+    hub = facts.filter("kind = 'l'").join(hint(own.select("key", "word").distinct()), ["key", "word"], "left_semi").groupBy("key", "word").agg(F.min(F.struct("turn", "node")).alias("h"))
+    linked = own.join(hub, ["key", "word"]).filter("node != h.node")
+    kinds = {k: F.lit(k).alias("kind") for k in "ncl"}
+    edges = (
+        near.select(kinds["n"], F.col("node").alias("node_a"), "node_b", "turn_b", "at")
+        .unionByName(cut.select(kinds["c"], F.col("node").alias("node_a"), "node_b", "turn_b", none.cast("int").alias("at")))
+        .unionByName(waiting.select(kinds["c"], F.col("node_b").alias("node_a"), F.col("node").alias("node_b"), F.col("turn").alias("turn_b"), none.cast("int").alias("at")))
+        .unionByName(linked.select(kinds["l"], F.col("node").alias("node_a"), F.col("h.node").alias("node_b"), F.col("h.turn").alias("turn_b"), none.cast("int").alias("at")))
     )
-    # Beginnings are made of those lengths only that cut titles have; one row, as short as the longest title.
-    lengths = short.agg(F.collect_set("upto").alias("lengths"))
-    upto = F.explode(F.filter("lengths", lambda k: k < n))
-    long = whole.filter(n >= MIN_CUT).crossJoin(F.broadcast(lengths)).select("node", "turn0", "words", upto.alias("upto"))
-    long = long.select(
-        F.col("node").alias("node_b"),
-        F.col("turn0").alias("turn_b"),
-        "upto",
-        F.xxhash64(F.array_join(F.slice("words", 1, F.col("upto")), " ")).alias("head"),
-        F.try_element_at("words", F.col("upto") + 1).alias("word"),
-    )
-    same = F.when(F.col("last").rlike(r"\p{N}"), F.col("last") == F.col("word")).otherwise(F.col("word").startswith(F.col("last")))
-    return short.join(long, ["upto", "head"]).filter((F.col("node_a") != F.col("node_b")) & same).select("node_a", "node_b", "turn_b")
+    edges.withColumn("batch", F.lit(batch)).coalesce(8).write.mode("append").parquet(f"{store.path}/edges")
+    return store.edges().filter(F.col("batch") == batch).drop("batch")
 
 
-def _cut_off(cut: DataFrame, whole: DataFrame) -> DataFrame:
-    """``(node_a, node_b)``: a title whose end was cut off, and the earliest title that it can be the beginning of.
+def accepted_links(edges: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(node_a, node_b)`` of the edges that hold when all rows are known.
 
-    Only the earliest: what was cut may have told two stories apart, and a cut title must not join them.
+    A title whose end was cut off goes with the earliest title that it can be the
+    beginning of, and no other: what was cut may have told two stories apart. A
+    slip in a word that a later copy shows to be a name is none.
     """
-    first = _cut_pairs(cut, whole).groupBy("node_a").agg(F.min(F.struct("turn_b", "node_b")).alias("b"))
-    return first.select("node_a", F.col("b.node_b").alias("node_b"))
+    cut = edges.filter("kind = 'c'").groupBy("node_a").agg(F.min(F.struct("turn_b", "node_b")).alias("b")).select("node_a", F.col("b.node_b").alias("node_b"))
+    near = edges.filter("kind = 'n'").select("node_a", "node_b", "at").distinct()
+    ends = near.select(F.explode_outer(F.array("node_a", "node_b")).alias("node")).distinct()
+    caps = (
+        rows.filter("caps is not null").join(small(ends), "node", "left_semi").groupBy("node").agg(F.min(F.struct("turn", "caps")).alias("c")).select("node", F.col("c.caps").alias("caps"))
+    )
+    for end in ("node_a", "node_b"):
+        side = caps.select(F.col("node").alias(end), F.col("caps").alias(f"caps_{end}"))
+        near = near.join(side, end, "left")
+    named = F.coalesce(F.try_element_at("caps_node_a", F.col("at")), F.lit(False)) | F.coalesce(F.try_element_at("caps_node_b", F.col("at")), F.lit(False))
+    same = edges.filter("kind = 'l'").select("node_a", "node_b")
+    return same.unionByName(cut).unionByName(near.filter(~named).select("node_a", "node_b")).distinct()
 
 
-def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``(node, root)``: the least node of each connected component of ``links (node_a, node_b)``.
 
-    Alternates large-star and small-star steps; each round is checkpointed. The
-    number of rounds is logarithmic in the longest chain.
+    Alternates large-star and small-star steps until a round changes nothing; each
+    round is checkpointed. The number of rounds is logarithmic in the longest chain.
     """
     edges = durable(
         links.select(F.greatest("node_a", "node_b").alias("u"), F.least("node_a", "node_b").alias("v")).filter("u != v").distinct()
     )
-    for _ in range(max_rounds):
+    before = None
+    while True:
+        state = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h"), F.bit_xor(F.xxhash64("v", "u", F.lit(1))).alias("g")).first()
+        if state == before or state.n == 0:
+            break
+        before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
@@ -221,109 +372,53 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
             .filter("u != v")
             .distinct()
         )
-        fresh = durable(fresh)
-        changed = fresh.exceptAll(edges).limit(1).count() or edges.exceptAll(fresh).limit(1).count()
-        edges = fresh
-        if not changed:
-            break
+        edges = durable(fresh)
     return edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
 
 
-def _keyed(index: DataFrame) -> DataFrame:
-    """Index rows with ``node``, the hash of their canonical title; a row without title words is a node of its own."""
-    cut = F.when(F.col("cut"), "c").otherwise("w")
-    tkey = F.when(F.col("text") != "", F.concat(cut, F.col("text"))).otherwise(F.concat(F.lit("#"), F.col("id").cast("string")))
-    return index.withColumn("node", F.xxhash64(tkey))
-
-
-def _titles(keyed: DataFrame) -> DataFrame:
-    """One row a distinct canonical title; copies make no pairs later."""
-    facts = ["words", "figures", "text", "cut", *(f"d{i}" for i in range(PIVOTS))]
-    first = keyed.groupBy("node").agg(
-        F.min("turn").alias("turn0"),
-        F.min(F.struct("turn", *facts)).alias("r"),
-        # the casing of the first copy that tells names apart
-        F.min(F.when(F.col("caps").isNotNull(), F.struct("turn", "caps"))).alias("c"),
-    )
-    return first.select("node", "turn0", F.col("c.caps").alias("caps"), *(F.col(f"r.{f}").alias(f) for f in facts))
-
-
-def _links(new: DataFrame, every: DataFrame, new_rows: DataFrame, every_rows: DataFrame) -> DataFrame:
-    """``(node_a, node_b)`` between titles of ``new`` and of ``every`` (which holds ``new``)."""
-    shared = every_rows.filter("link is not null").select("link", "node").distinct()
-    if new_rows is not every_rows:
-        shared = shared.join(new_rows.filter("link is not null").select("link").distinct(), "link", "left_semi")
-    hub = shared.groupBy("link").agg(F.min("node").alias("hub"))
-    by_link = shared.join(hub, "link").select(F.col("hub").alias("node_a"), F.col("node").alias("node_b")).filter("node_a != node_b")
-    a, b = new.filter("text != ''"), every.filter("text != ''")
-    out = by_link.unionByName(_near(a, b)).unionByName(_cut_off(a, b))
-    if new is every:
-        return out
-    # Cut titles of the history that a new title continues: their earliest partner may be an old one.
-    waiting = b.join(_cut_pairs(b, a).select(F.col("node_a").alias("node")).distinct(), "node", "left_semi")
-    return out.unionByName(_cut_off(waiting, b))
-
-
-def story_groups(index: DataFrame) -> DataFrame:
-    """``(id, turn, node, root_turn, root_node)``: each row of an index with the earliest row of its group.
+def repeats(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``(id_a, id_b, turn)`` of every index row that is not the earliest of its group; ``links`` of ``accepted_links``.
 
     Rows are the same if their canonical links or titles are equal, if their
-    titles are near (see ``_near``) or if one is the other with its end cut off;
+    titles differ by one slip or if one is the other with its end cut off;
     sameness carries on. Rows without words in their title and without a link
-    are alone. Near titles are sought among distinct titles only.
+    are alone.
     """
-    rows = _keyed(index)
-    nodes = durable(_titles(rows))
-    roots = components(_links(nodes, nodes, rows, rows))
-    placed = nodes.select("node", "turn0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    top = placed.groupBy("root").agg(F.min(F.struct("turn0", "node")).alias("t"))
-    earliest = placed.join(top, "root").select("node", F.col("t.turn0").alias("root_turn"), F.col("t.node").alias("root_node"))
-    return rows.select("id", "turn", "node").join(earliest, "node").select("id", "turn", "node", "root_turn", "root_node")
-
-
-def repeats(groups: DataFrame) -> DataFrame:
-    """``(id_a, id_b, turn)`` of every row that is not the earliest of its group."""
-    ids = F.col("root_turn")[f"o{len(groups.schema['turn'].dataType.fields) - 1}"]
-    return groups.filter("turn != root_turn").select(ids.alias("id_a"), F.col("id").alias("id_b"), "turn")
-
-
-def build(index: DataFrame) -> DataFrame:
-    """The accepted history: index rows with ``node``, ``root_turn`` and ``root_node`` of their groups."""
-    groups = story_groups(index).select("id", "node", "root_turn", "root_node")
-    return index.join(groups, "id")
-
-
-def append_batch(history: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Checks a batch of index rows against the accepted ``history`` (of ``build``) and appends it.
-
-    Returns ``(id_a, id_b)`` for the rows of the batch that repeat an earlier
-    one, and the new history. Only the batch's links, titles and title blocks
-    are compared, with those rows of the history that share a join key; what the
-    history knows of its own groups is taken from ``root_node``, not found again.
+    roots = components(links)
+    nodes = rows.groupBy("node").agg(F.min(F.struct("turn", "id")).alias("first"))
+    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Only nodes of several rows or of a group have repeats; the earliest row of each group by its node.
+    top = placed.groupBy("root").agg(F.min("first").alias("top"))
+    earliest = placed.join(top, "root").select("node", "top")
+    found = rows.select("id", "turn", "node").join(earliest, "node").filter("turn != top.turn or id != top.id")
+    return found.select(F.col("top.id").alias("id_a"), F.col("id").alias("id_b"), "turn")
+
+
+def find_repeats(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("id",), batch: str | None = None, sources: DataFrame | None = None) -> DataFrame:
+    """``(id_a, id_b, turn)`` of all articles that repeat an earlier one, batch after batch against a stored pivot table.
+
+    The first batch is the history, from whose titles the pivots are chosen. Each
+    later one meets only what was stored before it; see ``append_batch`` and
+    ``repeats``. Extra columns of ``df`` are ignored; repeated rows repeat
+    themselves; an empty table gives an empty result.
     """
-    new_rows = durable(_keyed(batch))
-    cols = [c for c in new_rows.columns]
-    every_rows = history.select(*cols).unionByName(new_rows)
-    new, every = _titles(new_rows), _titles(every_rows)
-    edges = durable(_links(new, every, new_rows, every_rows))
-    ends = edges.select(F.col("node_a").alias("node")).unionByName(edges.select(F.col("node_b").alias("node"))).unionByName(new_rows.select("node")).distinct()
-    old = history.select("node", "root_node", "root_turn").distinct().join(ends, "node", "left_semi")
-    roots = components(edges.unionByName(old.select(F.col("root_node").alias("node_a"), F.col("node").alias("node_b"))))
-    facts = (
-        new_rows.select("node", "turn")
-        .unionByName(old.select("node", F.col("root_turn").alias("turn")))
-        .unionByName(old.select(F.col("root_node").alias("node"), F.col("root_turn").alias("turn")))
-        .groupBy("node")
-        .agg(F.min("turn").alias("turn"))
-        .join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-    )
-    top = facts.groupBy("root").agg(F.min(F.struct("turn", "node")).alias("t"))
-    placed = durable(facts.join(top, "root").select("node", F.col("t.turn").alias("root_turn"), F.col("t.node").alias("root_node")))
-    added = new_rows.join(placed, "node")
-    # Groups that the batch has joined: their rows take the earlier root.
-    moved = placed.join(history.select(F.col("root_node").alias("node")).distinct(), "node", "left_semi").select(
-        F.col("node").alias("root_node"), F.col("root_turn").alias("to_turn"), F.col("root_node").alias("to_node")
-    ).filter("root_node != to_node")
-    kept = history.join(moved, "root_node", "left").withColumn("root_turn", F.coalesce("to_turn", "root_turn")).withColumn("root_node", F.coalesce("to_node", "root_node")).drop("to_turn", "to_node")
-    return repeats(added).select("id_a", "id_b"), kept.unionByName(added.select(*kept.columns))
+    spark = df.sparkSession
+    store = new_store(spark, [])
+    # Links and titles are brought to their canonical form once, when they arrive; each batch is a partition of its own.
+    index = articles_index(df, key, order, batch, sources)
+    index.hint("rebalance", "batch").write.partitionBy("batch").parquet(f"{store.path}/rows")
+    rows = spark.read.schema(index.schema).parquet(f"{store.path}/rows")
+    sizes = rows.groupBy("batch").count().orderBy("batch").limit(MAX_BATCHES + 1).collect()
+    if len(sizes) > MAX_BATCHES:
+        raise ValueError(f"more than {MAX_BATCHES} batches")
+    if sizes:
+        store.pivots = choose_pivots(rows.filter(F.col("batch") == sizes[0].batch))
+    for size in sizes:
+        append_batch(store, rows.filter(F.col("batch") == size.batch), size.batch, size["count"])
+    if sizes:
+        found = durable(repeats(rows, durable(accepted_links(store.edges(), rows))))
+    else:
+        found = rows.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), "turn").limit(0)
+        found = spark.createDataFrame([], found.schema)
+    store.drop()
+    return found

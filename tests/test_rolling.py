@@ -16,7 +16,7 @@ from tidemark.operators.rolling import trailing, two_stacks
 @given(st.lists(st.integers(-9, 9), max_size=60), st.integers(1, 12))
 def test_two_stacks(values, window):
     a = np.array(values, dtype=np.int64)
-    for op_name, identity in rolling.MONOIDS.values():
+    for op_name, identity, _, _ in rolling.MONOIDS.values():
         op = getattr(np, op_name)
         got = two_stacks(a, window, op, identity)
         want = [op.reduce(a[max(0, i - window + 1) : i + 1]) for i in range(len(a))]
@@ -56,3 +56,16 @@ def test_maximum_repeats_and_empty(spark):
     got = [r.n_3 for r in trailing(df, ["ent"], "date", ["n"], (3,), "load", monoid="max").orderBy("day").collect()]
     assert got[0] == 4 and got[2] == 4 and got[3] == 2
     assert trailing(df.limit(0), ["ent"], "date", ["n"]).count() == 0
+
+
+def test_fractions_and_unions(spark):
+    d = dt.date(2025, 1, 1)
+    rows = [("a", d + dt.timedelta(days=i), x, 1 << i) for i, x in enumerate([0.5, 0.7, None, 1.25])]
+    df = spark.createDataFrame(rows, "ent string, date date, x double, tags long")
+    got = [r.x_7 for r in trailing(df, ["ent"], "date", ["x"], (7,)).orderBy("day").collect()]
+    assert got == pytest.approx([0.5, 1.2, 1.2, 2.45])
+    assert [r.x_2 for r in trailing(df, ["ent"], "date", ["x"], (2,), monoid="max").orderBy("day").collect()] == [0.5, 0.7, 0.7, 1.25]
+    # a set of members has no inverse: a member leaves with the last day that has it
+    assert [r.tags_2 for r in trailing(df, ["ent"], "date", ["tags"], (2,), monoid="union").orderBy("day").collect()] == [1, 3, 6, 12]
+    with pytest.raises(ValueError):
+        trailing(df, ["ent"], "date", ["x"], (2,), monoid="union")

@@ -55,11 +55,11 @@ def test_rules_on_any_script_and_null_titles(spark, tables):
         (7, "Boss named “chief”", None, "Reddit", None),
     ]
     sf = tables("articles", rows, "id long, title string, snippet string, publisher string, url string")
-    got = {name: {r[0]: tuple(r)[1:] for r in QUERIES[name](spark, sf).collect()} for name in ("rule_flags_whole", "rule_neutralised_whole", "rule_sentiment_cascade", "nar_classify_whole")}
+    got = {name: {r[0]: tuple(r)[1:] for r in QUERIES[name](spark, sf).collect()} for name in ("rule_flags", "rule_neutralised", "rule_sentiment_cascade", "nar_classify")}
     no = (False, False, False, False)
-    assert got["rule_flags_whole"] == {1: (False, True, False, True), 2: (False, False, True, False), 3: (True, False, False, False), 4: (False, True, False, True), 5: no, 6: no, 7: no}
-    assert got["rule_neutralised_whole"] == {i: (i in (2, 3),) for i in range(1, 8)}
-    assert got["nar_classify_whole"] == {1: (None, None), 2: ("labour", "crisis"), 3: ("growth", "non_crisis"), 4: (None, None), 5: (None, None), 6: (None, None), 7: ("governance", "crisis")}
+    assert got["rule_flags"] == {1: (False, True, False, True), 2: (False, False, True, False), 3: (True, False, False, False), 4: (False, True, False, True), 5: no, 6: no, 7: no}
+    assert got["rule_neutralised"] == {i: (i in (2, 3),) for i in range(1, 8)}
+    assert got["nar_classify"] == {1: (None, None), 2: ("labour", "crisis"), 3: ("growth", "non_crisis"), 4: (None, None), 5: (None, None), 6: (None, None), 7: ("governance", "crisis")}
     assert {i: r[0] for i, r in got["rule_sentiment_cascade"].items()} == {1: "negative", 2: "neutral", 3: "neutral", 4: "negative", 5: "neutral", 6: "neutral", 7: "negative"}
 
 
@@ -67,7 +67,7 @@ def test_typed_names_of_any_script(spark, tables):
     tables("companies", [("a", "Söder Foods"), ("b", "Numara Inc"), ("c", "Zed & Sons")], "id string, name string")
     typed = [(1, "Söder Foods"), (2, "numara\u00a0"), (3, "Numara – Group"), (4, None), (5, "Ｚｅｄ"), (6, "Zed & Sons"), (7, "")]
     sf = tables("ceo_articles_modal", typed, "row_id long, company string")
-    got = {r[0]: (r[1], r[2]) for r in QUERIES["join_fallback_chain_whole"](spark, sf).collect()}
+    got = {r[0]: (r[1], r[2]) for r in QUERIES["join_fallback_chain"](spark, sf).collect()}
     assert got == {1: ("a", "exact"), 2: ("b", "simple"), 3: ("b", "simple"), 4: (None, None), 5: (None, None), 6: ("c", "exact"), 7: (None, None)}
 
 
@@ -94,9 +94,9 @@ def test_links_moments_and_markup_of_every_row(spark, tables):
     tables("articles", list(zip(range(4), links, texts, [None, None, "g", None])), "id long, url string, title string, snippet string")
     stamps = ["2025-06-29T05:59:44Z", "2025-06-29 05:59:44", "Sun, 29 Jun 2025 07:59:44 +0200", "soon", None]
     sf = tables("ceo_articles_modal", list(enumerate(stamps)), "row_id long, published_at string")
-    got = {name: {r[0]: r[1] for r in QUERIES[name](spark, sf).collect()} for name in ("url_hash_whole", "cast_datetime_whole", "src_html_text_whole")}
+    got = {name: {r[0]: r[1] for r in QUERIES[name](spark, sf).collect()} for name in ("url_hash", "cast_datetime", "src_html_text")}
     forms = ["https://a.example/x?a=1&b=2", "https://a.example/x?id=3", "https://a.example/x"]
-    assert got["url_hash_whole"] == {**{i: hashlib.sha256(f.encode()).hexdigest() for i, f in enumerate(forms)}, 3: ""}
+    assert got["url_hash"] == {**{i: hashlib.sha256(f.encode()).hexdigest() for i, f in enumerate(forms)}, 3: ""}
     at = dt.datetime(2025, 6, 29, 5, 59, 44)
-    assert got["cast_datetime_whole"] == {0: at, 1: at, 2: at, 3: None, 4: None}
-    assert got["src_html_text_whole"] == {0: "A – B", 1: "C 'd' & e", 2: "g", 3: "F"}
+    assert got["cast_datetime"] == {0: at, 1: at, 2: at, 3: None, 4: None}
+    assert got["src_html_text"] == {0: "A – B", 1: "C 'd' & e", 2: "g", 3: "F"}

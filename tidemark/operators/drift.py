@@ -132,7 +132,7 @@ OTHER_KIND, UNKNOWN_VALUES = 0.6, 0.3
 LEAST_SCORE = 0.48
 
 
-def flood(pairs: pd.DataFrame, settled: float = 1e-9, rounds: int = 1_000_000) -> list[float]:
+def flood(pairs: pd.DataFrame, settled: float = 1e-6, rounds: int = 1_000_000) -> list[float]:
     """Similarity flooding over the candidate pairs of one schema change; each pair's score against a perfect pair.
 
     ``pairs`` has a row for each (old field, new field): ``old_name, field_name,

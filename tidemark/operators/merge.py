@@ -59,6 +59,17 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
+def partial_upsert(target: DataFrame, source: DataFrame, keys: list[str], where: Column, order: str) -> DataFrame:
+    """Both tables, of which rows that hold ``where`` are unique by ``keys``: the source's before the target's, the greatest ``order`` first.
+
+    Rows for which ``where`` does not hold are all kept.
+    """
+    both = target.withColumn("__new", F.lit(0)).unionByName(source.withColumn("__new", F.lit(1)))
+    held = F.coalesce(where, F.lit(False))
+    one = dedupe(both.filter(held), keys, F.struct("__new", order))
+    return one.unionByName(both.filter(~held)).drop("__new")
+
+
 def replace_window(target: DataFrame, source: DataFrame, day: str, start: str, end: str, within: Column | None = None) -> DataFrame:
     """``target`` without the days ``[start, end)`` (where ``within`` holds), and ``source``."""
     gone = (F.col(day) >= F.lit(start).cast("date")) & (F.col(day) < F.lit(end).cast("date"))

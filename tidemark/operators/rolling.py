@@ -21,13 +21,20 @@ if TYPE_CHECKING:  # loaded in the workers only
     import numpy as np
     import pyarrow as pa
 
-#: Monoids on 64-bit integers: numpy's name of the operation, and its identity.
-MONOIDS = {"sum": ("add", 0), "max": ("maximum", -(2**63)), "min": ("minimum", 2**63 - 1)}
+#: Monoids: numpy's name of the operation, its identity among 64-bit integers and among doubles (null: integers only),
+#: and Spark's aggregate for rows of one day.
+MONOIDS = {
+    "sum": ("add", 0, 0.0, F.sum),
+    "max": ("maximum", -(2**63), float("-inf"), F.max),
+    "min": ("minimum", 2**63 - 1, float("inf"), F.min),
+    # sets of up to 64 members as bits: their union has no inverse
+    "union": ("bitwise_or", 0, None, F.bit_or),
+}
 #: Days in a block of an entity's calendar; a longer history is split over tasks.
 BLOCK_DAYS = 366
 
 
-def two_stacks(values: np.ndarray, window: int, op: np.ufunc, identity: int) -> np.ndarray:
+def two_stacks(values: np.ndarray, window: int, op: np.ufunc, identity: float) -> np.ndarray:
     """``op`` over each trailing ``window`` of ``values``; short at the start."""
     import numpy as np
 
@@ -43,8 +50,8 @@ def two_stacks(values: np.ndarray, window: int, op: np.ufunc, identity: int) ->
     return np.where(at % window == 0, back, op(kept, back))
 
 
-def _roll(windows: tuple[int, ...], monoid: str, n_values: int, n_keys: int):
-    op_name, identity = MONOIDS[monoid]
+def _roll(windows: tuple[int, ...], op_name: str, identities: list[float], n_keys: int):
+    n_values = len(identities)
     halo = max(windows) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +92,8 @@ def _roll(windows: tuple[int, ...], monoid: str, n_values: int, n_keys: int):
         cols = [t.column(f"k{i}").take(pa.array(start[which[keep]])) for i in range(n_keys)]
         cols.append(pa.array((pos[keep] + base[which[keep]]).astype(np.int32)))
         for v in range(n_values):
-            dense = np.full(offset[-1], identity, np.int64)
+            identity = identities[v]
+            dense = np.full(offset[-1], identity, np.float64 if isinstance(identity, float) else np.int64)
             dense[at] = t[f"v{v}"].to_numpy()
             for w in windows:
                 # every entity's axis begins with a halo of identities or of its own earlier days
@@ -108,8 +116,8 @@ def trailing(
 ) -> DataFrame:
     """Aggregates over trailing windows for each entity and day from its first to its last row.
 
-    Result: the keys, ``day`` (date) and ``<value>_<w>`` (bigint) for every value
-    and window. A window ends with its day and includes it. Per entity and day
+    Result: the keys, ``day`` (date) and ``<value>_<w>`` for every value
+    and window, a bigint for whole numbers and a double for others. A window ends with its day and includes it. Per entity and day
     only the row with the highest ``order`` counts (on a tie the largest values;
     without ``order`` all rows of a day are added up). Nulls and missing days
     count as the monoid's identity in the window (0 for sums). Rows with a null
@@ -121,22 +129,28 @@ def trailing(
     before it that its first windows reach back to, so that no task holds more
     of an entity than one block.
     """
-    op_identity = MONOIDS[monoid][1]
+    op_name, whole, broken, combine = MONOIDS[monoid]
+    types = dict(df.dtypes)
+    double = [types[c].startswith(("float", "double", "decimal", "string")) for c in values]
+    if broken is None and any(double):
+        raise ValueError(f"{monoid} takes whole numbers only")
+    identities = [broken if d else whole for d in double]
+    sql = ["double" if d else "bigint" for d in double]
+    none = [F.lit(i).cast(t) for i, t in zip(identities, sql, strict=True)]
     k = [f"k{i}" for i in range(len(keys))]
     v = [f"v{i}" for i in range(len(values))]
     halo = max(windows) - 1
     rows = df.select(
         *(F.col(c).alias(a) for c, a in zip(keys, k, strict=True)),
         F.unix_date(F.col(day).cast("date")).alias("day"),
-        *(F.col(c).cast("bigint").alias(a) for c, a in zip(values, v, strict=True)),
+        *(F.col(c).cast(t).alias(a) for c, a, t in zip(values, v, sql, strict=True)),
         *([F.col(order).alias("ord")] if order else []),
     ).filter("day is not null")
     if order:
         best = rows.groupBy(*k, "day").agg(F.max(F.struct("ord", *v)).alias("top"))
-        daily = best.select(*k, "day", *(F.coalesce(F.col(f"top.{c}"), F.lit(op_identity)).alias(c) for c in v))
+        daily = best.select(*k, "day", *(F.coalesce(F.col(f"top.{c}"), i).alias(c) for c, i in zip(v, none, strict=True)))
     else:
-        agg = {"sum": F.sum, "max": F.max, "min": F.min}[monoid]
-        daily = rows.groupBy(*k, "day").agg(*(F.coalesce(agg(c), F.lit(op_identity)).alias(c) for c in v))
+        daily = rows.groupBy(*k, "day").agg(*(F.coalesce(combine(c), i).alias(c) for c, i in zip(v, none, strict=True)))
     # An entity's reach: after the reduction above it is one row a day at most, and map-side combined.
     reach = daily.groupBy(*k).agg(F.min("day").alias("first"), F.max("day").alias("last"))
     reach = reach.select(*(F.col(c).alias(f"r_{c}") for c in k), "first", "last")
@@ -166,14 +180,13 @@ def trailing(
             *k,
             "block",
             (F.col("first") + F.col("block") * BLOCK_DAYS).alias("day"),
-            *(F.lit(op_identity).cast("bigint").alias(c) for c in v),
+            *(i.alias(c) for c, i in zip(v, none, strict=True)),
             (F.col("first") + F.col("block") * BLOCK_DAYS).alias("lo"),
             F.least(F.col("last"), F.col("first") + (F.col("block") + 1) * BLOCK_DAYS - 1).alias("hi"),
             "first",
         )
         .filter("block > 0")
     )
-    combine = {"sum": F.sum, "max": F.max, "min": F.min}[monoid]
     whole = spread.unionByName(seeds)
     # ``grp`` tells neighbouring entities apart; equal neighbours would need equal keys and blocks.
     cells = (
@@ -185,9 +198,9 @@ def trailing(
     )
     kinds = dict(cells.dtypes)
     schema = ", ".join(
-        [f"{c} {kinds[c]}" for c in k] + ["day int"] + [f"{c}_{w} bigint" for c in v for w in windows]
+        [f"{c} {kinds[c]}" for c in k] + ["day int"] + [f"{c}_{w} {t}" for c, t in zip(v, sql, strict=True) for w in windows]
     )
-    rolled = cells.mapInArrow(_roll(tuple(windows), monoid, len(values), len(keys)), schema)
+    rolled = cells.mapInArrow(_roll(tuple(windows), op_name, identities, len(keys)), schema)
     return rolled.select(
         *(F.col(a).alias(c) for c, a in zip(keys, k, strict=True)),
         F.date_from_unix_date("day").alias("day"),

@@ -31,15 +31,15 @@ def coverage(parts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def resolve_entity(df: DataFrame, key: str, name: str, entity_id: str | None = None, entity_name: str | None = None) -> DataFrame:
-    """The entity with an id, a name (any case) or both; an error if both are given and disagree."""
-    found = df
-    if entity_id is not None:
-        found = found.filter(F.col(key) == entity_id)
-    if entity_name is not None:
-        found = found.filter(F.lower(name) == entity_name.lower())
-    if found.limit(1).count() == 0:
+    """The entity with an id, a name (any case) or both; an error if there is none, another if id and name tell different ones."""
+    by_id = F.col(key) == entity_id if entity_id is not None else F.lit(True)
+    by_name = F.lower(name) == entity_name.lower() if entity_name is not None else F.lit(True)
+    seen = df.agg(F.count_if(by_id & by_name).alias("both"), F.count_if(by_id).alias("ids"), F.count_if(by_name).alias("names")).first()
+    if seen.both == 0:
+        if seen.ids and seen.names:
+            raise ValueError("the id and the name given tell different entities")
         raise ValueError("no entity fits the id and name given")
-    return found
+    return df.filter(by_id & by_name)
 
 
 def require(df: DataFrame, checks: dict[str, Column]) -> DataFrame:

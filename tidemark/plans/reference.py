@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +12,7 @@ from tidemark.functions import casts, names, series, urls
 from tidemark.functions.vader import compound
 from tidemark.operators import events, features, merge, resolve, rollups
 from tidemark.plans import maintain, rules, selection
-from tidemark.session import small, table
+from tidemark.session import shared_folder, small, table
 from tidemark.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,15 +61,8 @@ def _src_cap(spark, sf):
     return selection.budgeted(a, ["publisher"], [F.col("id")], 50).select("id", "publisher")
 
 
-@query("src_html_text", "SELECT id, trim(regexp_replace(regexp_replace(replace(replace(replace('<p class=\"x\">' || title || '</p><b>' || coalesce(snippet, '') || '</b>', '&nbsp;', ' '), '&#x27;', ''''), '&amp;', '&'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text FROM articles WHERE title NOT LIKE '%&#%' OR title LIKE '%&#x27;%'")
+@query("src_html_text", "SELECT id, trim(regexp_replace(regexp_replace(replace(replace(replace('<p class=\"x\">' || coalesce(title, '') || '</p><b>' || coalesce(snippet, '') || '</b>', '&nbsp;', ' '), '&#x27;', ''''), '&amp;', '&'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text FROM articles")
 def _src_html(spark, sf):
-    a = table(spark, sf, "articles").filter("title not like '%&#%' or title like '%&#x27;%'")
-    html = F.concat(F.lit('<p class="x">'), "title", F.lit("</p><b>"), F.coalesce("snippet", F.lit("")), F.lit("</b>"))
-    return a.select("id", readers.html_text(html).alias("text"))
-
-
-@query("src_html_text_whole")
-def _src_html_whole(spark, sf):
     html = F.concat(F.lit('<p class="x">'), F.coalesce("title", F.lit("")), F.lit("</p><b>"), F.coalesce("snippet", F.lit("")), F.lit("</b>"))
     return table(spark, sf, "articles").select("id", readers.html_text(html).alias("text"))
 
@@ -91,7 +85,11 @@ def _snk_add(spark, sf):
 
 @query("snk_month_partition", "SELECT strftime(date, '%Y-%m') AS ym, count(*) AS n FROM serp_feature_items GROUP BY 1")
 def _snk_month(spark, sf):
-    return table(spark, sf, "serp_feature_items").groupBy(F.date_format("date", "yyyy-MM").alias("ym")).agg(F.count(F.lit(1)).alias("n"))
+    path = f"{shared_folder(spark)}/months-{uuid.uuid4().hex}"
+    writers.write_months(table(spark, sf, "serp_feature_items").select("item_id", "date"), path)
+    # the partition is text; as a directory's name it would be read as a date
+    written = spark.read.schema("item_id bigint, date date, ym string").parquet(path)
+    return written.groupBy("ym").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("snk_retention", "SELECT item_id, date FROM serp_feature_items WHERE date >= date_trunc('month', DATE '2025-12-15' - INTERVAL 4 MONTH)")
@@ -111,15 +109,15 @@ def _ups_last(spark, sf):
 
 
 def _halves(spark, sf):
-    """Articles of the history and of later batches that are seen again, keyed by id modulo a prime."""
-    a = table(spark, sf, "articles").select((F.col("id") % 4001).alias("k"), "id", "publisher", "snippet", "first_seen_at", "last_seen_at", "batch_no")
+    """All articles of the history and of later batches, keyed by their title: the last of each."""
+    a = table(spark, sf, "articles").select(F.col("title").alias("k"), "id", "publisher", "snippet", "first_seen_at", "last_seen_at", "batch_no")
     old = merge.dedupe(a.filter("batch_no = 0"), ["k"], "id").drop("batch_no")
     new = merge.dedupe(a.filter("batch_no > 0"), ["k"], "id").drop("batch_no")
     return old, new
 
 
 _HALVES = """
-WITH a AS (SELECT id % 4001 AS k, * FROM articles),
+WITH a AS (SELECT title AS k, * FROM articles),
 o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY id DESC) AS rn FROM a WHERE batch_no = 0) WHERE rn = 1),
 n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY id DESC) AS rn FROM a WHERE batch_no > 0) WHERE rn = 1)
 """
@@ -230,10 +228,15 @@ def _ups_id(spark, sf):
     return a.select("id", merge.surrogate(F.col("url"), F.col("publisher")).alias("sid"))
 
 
-@query("ups_partial_unique", "SELECT entity_type, coalesce(entity_id, entity_name) AS entity, run_at, count(*) AS n FROM serp_feature_items GROUP BY ALL")
+@query("ups_partial_unique", """WITH u AS (SELECT *, date >= DATE '2025-07-01' AS fresh FROM serp_feature_items)
+SELECT item_id, entity_type, sentiment_label FROM u WHERE entity_type <> 'company' UNION ALL
+SELECT item_id, entity_type, sentiment_label FROM (SELECT *, row_number() OVER (PARTITION BY coalesce(entity_id, entity_name), feature_type, url_hash ORDER BY fresh DESC, item_id DESC) AS rn FROM u WHERE entity_type = 'company') WHERE rn = 1""")
 def _ups_partial(spark, sf):
-    t = table(spark, sf, "serp_feature_items")
-    return t.groupBy("entity_type", F.coalesce("entity_id", "entity_name").alias("entity"), "run_at").agg(F.count(F.lit(1)).alias("n"))
+    t = table(spark, sf, "serp_feature_items").select("item_id", "date", "entity_type", "sentiment_label", F.coalesce("entity_id", "entity_name").alias("entity"), "feature_type", "url_hash")
+    cut = F.lit("2025-07-01").cast("date")
+    key = ["entity", "feature_type", "url_hash"]
+    out = merge.partial_upsert(t.filter(F.col("date") < cut), t.filter(F.col("date") >= cut), key, F.col("entity_type") == "company", "item_id")
+    return out.select("item_id", "entity_type", "sentiment_label")
 
 
 # --- projections, filters, casts -------------------------------------------
@@ -285,14 +288,8 @@ def _cast_rank(spark, sf):
     return table(spark, sf, "negative_articles_summary").select("summary_id", casts.to_rank(F.col("risk_score").cast("string")).alias("rank"))
 
 
-@query("cast_datetime", "SELECT row_id, TRY_CAST(published_at AS TIMESTAMPTZ) AS at FROM ceo_articles_modal WHERE regexp_full_match(published_at, '\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}(Z|[+-]\\d{2}:\\d{2})')")
+@query("cast_datetime")
 def _cast_datetime(spark, sf):
-    m = table(spark, sf, "ceo_articles_modal").filter(F.col("published_at").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"))
-    return m.select("row_id", casts.to_instant(F.col("published_at")).alias("at"))
-
-
-@query("cast_datetime_whole")
-def _cast_datetime_whole(spark, sf):
     return table(spark, sf, "ceo_articles_modal").select("row_id", casts.to_instant(F.col("published_at")).alias("at"))
 
 
@@ -302,7 +299,11 @@ def _cast_llm(spark, sf):
     return table(spark, sf, "ceo_articles_modal").select("row_id", a.alias("a"), b.alias("b"))
 
 
-@query("date_text_test", """SELECT item_id, coalesce(regexp_matches(lower(published_date), '\\b\\d+\\s+(sec|secs|second|seconds|min|mins|minute|minutes|hour|hours|day|days|week|weeks|month|months|year|years)\\b') OR regexp_full_match(lower(published_date), '\\d+\\s*[smhdwy]') OR regexp_matches(lower(published_date), '\\b(\\d{4}-\\d{2}-\\d{2}|(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\\s+\\d{1,2},?\\s+\\d{4})\\b'), false) AS is_date FROM serp_feature_items""")
+_UNITS, _MONTHS = "|".join(casts.UNITS), "|".join(casts.MONTHS)
+
+
+@query("date_text_test", f"""SELECT item_id, coalesce(regexp_matches(t, '\\b\\d+\\s+({_UNITS})s?\\b') OR regexp_full_match(t, '\\d+\\s*[{casts.UNIT_LETTERS}]') OR regexp_matches(t, '\\b\\d{{4}}-\\d\\d-\\d\\d\\b')
+OR regexp_matches(t, '\\b({_MONTHS})[a-z]*\\s+\\d{{1,2}},?\\s+\\d{{4}}\\b'), false) AS is_date FROM (SELECT item_id, lower(published_date) AS t FROM serp_feature_items)""")
 def _date_text(spark, sf):
     return table(spark, sf, "serp_feature_items").select("item_id", F.coalesce(casts.looks_like_date(F.col("published_date")), F.lit(False)).alias("is_date"))
 
@@ -333,10 +334,10 @@ def _nm_ingest(spark, sf):
     return table(spark, sf, "companies").select("id", names.ingest_key(F.col("name")).alias("k"), names.ingest_simple(F.col("name")).alias("s"))
 
 
-_TAILS = "(?i)(?: Corporation| Company| Limited| L\\.L\\.C\\.| Corp\\.| Corp| Inc\\.| Inc| Ltd\\.| Ltd| LLC| Co\\.| PLC| plc| Co|\\.com|\\.net|\\.org)$"
+LEGAL_TAILS = "(?i)(?: Corporation| Company| Limited| L\\.L\\.C\\.| Corp\\.| Corp| Inc\\.| Inc| Ltd\\.| Ltd| LLC| Co\\.| PLC| plc| Co|\\.com|\\.net|\\.org)$"
 
 
-@query("nm_feature", f"SELECT id, trim(regexp_replace(lower(trim(regexp_replace(trim(name), '{_TAILS}', ''))), '[^a-z0-9\\s]', '', 'g')) AS k FROM companies")
+@query("nm_feature", f"SELECT id, trim(regexp_replace(lower(trim(regexp_replace(trim(name), '{LEGAL_TAILS}', ''))), '[^a-z0-9\\s]', '', 'g')) AS k FROM companies")
 def _nm_feature(spark, sf):
     return table(spark, sf, "companies").select("id", names.feature_key(F.col("name")).alias("k"))
 
@@ -396,16 +397,8 @@ def _url_norm(spark, sf):
     return table(spark, sf, "articles").select("id", urls.normalize(F.col("url")).alias("url"), urls.url_hash(F.col("url")).alias("hash"))
 
 
-_PLAINURL = "url NOT LIKE '%?%' AND url NOT LIKE '%;%'"
-
-
-@query("url_hash_plain", f"SELECT id, sha256(lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)), '^www\\.', '') || regexp_replace(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/{{2,}}', '/', 'g')) AS h FROM articles WHERE {_PLAINURL}")
+@query("url_hash")
 def _url_hash(spark, sf):
-    return table(spark, sf, "articles").filter(_PLAINURL).select("id", urls.url_hash(F.col("url")).alias("h"))
-
-
-@query("url_hash_whole")
-def _url_hash_whole(spark, sf):
     return table(spark, sf, "articles").select("id", urls.url_hash(F.col("url")).alias("h"))
 
 
@@ -459,17 +452,12 @@ n AS (SELECT {_ING.format('name')} AS k, min(id) AS id FROM companies GROUP BY 1
 s AS (SELECT k, min(id) AS id FROM (SELECT {_simple(_ING.format('name'), ",'the'")} AS k, id FROM companies) WHERE k <> '' GROUP BY 1 HAVING count(DISTINCT id) = 1)
 SELECT m.row_id, coalesce(e.id, n.id, s.id) AS id, CASE WHEN e.id IS NOT NULL THEN 'exact' WHEN n.id IS NOT NULL THEN 'key' WHEN s.id IS NOT NULL THEN 'simple' END AS match_type
 FROM ceo_articles_modal m LEFT JOIN e ON e.k = m.company LEFT JOIN n ON n.k = {_ING.format('m.company')} LEFT JOIN s ON s.k = {_simple(_ING.format('m.company'), ",'the'")}
-WHERE m.company IS NOT NULL AND regexp_full_match(m.company, '[\\x20-\\x7e]*')""")
+WHERE m.company IS NOT NULL""")
 def _join_chain(spark, sf):
-    m = table(spark, sf, "ceo_articles_modal").filter(F.col("company").rlike(r"^[\x20-\x7e]*$"))
+    m = table(spark, sf, "ceo_articles_modal").filter("company is not null")
     return _chained(spark, sf, m)
 
 
-@query("join_fallback_chain_whole")
-def _join_chain_whole(spark, sf):
-    return _chained(spark, sf, table(spark, sf, "ceo_articles_modal"))
-
-
 def _chained(spark, sf, typed):
     keys = [("exact", lambda c: c), ("key", names.ingest_key), ("simple", names.ingest_simple)]
     return resolve.fallback_chain(typed.select("row_id", "company"), "company", table(spark, sf, "companies"), "name", "id", keys).select("row_id", "id", "match_type")
@@ -535,10 +523,11 @@ def _join_prev(spark, sf):
     return rollups.previous_day(d, ["entity_name"], "date", ["total", "neg"])
 
 
-@query("join_ci_name", "SELECT a.id AS a, b.id AS b FROM ceos a JOIN ceos b ON lower(a.name) = lower(b.name) AND a.id < b.id")
+@query("join_ci_name", "SELECT m.row_id, k.id FROM ceo_articles_modal m JOIN companies k ON lower(m.company) = lower(k.name) AND m.company <> k.name")
 def _join_ci(spark, sf):
-    c = table(spark, sf, "ceos").select("id", F.lower("name").alias("k"))
-    return c.select(F.col("id").alias("a"), "k").join(c.select(F.col("id").alias("b"), "k"), "k").filter("a < b").select("a", "b")
+    k = table(spark, sf, "companies").select("id", "name", F.lower("name").alias("low"))
+    m = table(spark, sf, "ceo_articles_modal").select("row_id", "company", F.lower("company").alias("low"))
+    return m.join(small(k), "low").filter("company != name").select("row_id", "id")
 
 
 # --- aggregates --------------------------------------------------------------
@@ -801,7 +790,7 @@ def _sel_pause(spark, sf):
 
 # --- rules -----------------------------------------------------------------------
 
-_B, _E = "(?:^|[^a-z0-9_])(?:", ")(?:$|[^a-z0-9_])"
+_B, _E = r"(?:^|[^\p{L}\p{M}\p{N}_])(?:", r")(?:$|[^\p{L}\p{M}\p{N}_])"
 
 
 def _has(col: str, words: str) -> str:
@@ -811,14 +800,8 @@ def _has(col: str, words: str) -> str:
 _HEAD = "concat_ws(' ', nullif(trim(coalesce(title, '')), ''), nullif(trim(coalesce(snippet, '')), ''))"
 _SRC = "concat_ws(' ', nullif(trim(coalesce(title, '')), ''), nullif(trim(coalesce(snippet, '')), ''), nullif(trim(coalesce(publisher, '')), ''))"
 _ALL = "concat_ws(' ', nullif(trim(coalesce(title, '')), ''), nullif(trim(coalesce(snippet, '')), ''), nullif(trim(coalesce(publisher, '')), ''), nullif(trim(coalesce(url, '')), ''))"
-_ASCII = "regexp_full_match(title || coalesce(snippet, ''), '[\\x20-\\x7e]*')"
 _FLAGS = f"""SELECT id, {_has(_SRC, 'shares|outlook|report|stock|analysts|debt')} AS finance, {_has(_HEAD, 'court|fines|inquiry|leak|injured')} AS material,
-{_has(_HEAD, 'jobs|staff|walk\\s+out')} AND NOT {_has(_HEAD, 'injured|court')} AS low, {_has(_ALL, 'court|claim|regulator|inquiry')} AS law FROM articles WHERE {_ASCII}"""
-
-
-def _ascii(spark, sf):
-    """The articles that the SQL of three queries is about; the same queries over all of them end in ``_whole``."""
-    return table(spark, sf, "articles").filter(F.concat("title", F.coalesce("snippet", F.lit(""))).rlike(r"^[\x20-\x7e]*$"))
+{_has(_HEAD, 'jobs|staff|walk\\s+out')} AND NOT {_has(_HEAD, 'injured|court')} AS low, {_has(_ALL, 'court|claim|regulator|inquiry')} AS law FROM articles"""
 
 
 def _flagged(articles):
@@ -831,21 +814,11 @@ def _flag_columns(articles):
 
 @query("rule_flags", f"SELECT id, finance, material, low, NOT low AND law AS legal FROM ({_FLAGS})")
 def _rule_flags(spark, sf):
-    return _flag_columns(_ascii(spark, sf))
-
-
-@query("rule_flags_whole")
-def _rule_flags_whole(spark, sf):
     return _flag_columns(table(spark, sf, "articles"))
 
 
 @query("rule_neutralised", f"SELECT id, low OR (finance AND NOT material) AS neutral FROM ({_FLAGS})")
 def _rule_neutral(spark, sf):
-    return _flagged(_ascii(spark, sf)).select("id", rules.neutralised(F.lit("negative")).alias("neutral"))
-
-
-@query("rule_neutralised_whole")
-def _rule_neutral_whole(spark, sf):
     return _flagged(table(spark, sf, "articles")).select("id", rules.neutralised(F.lit("negative")).alias("neutral"))
 
 
@@ -890,13 +863,8 @@ def _narratives(articles):
 _NAR = f"CASE WHEN {_has(_HEAD, 'injured|recalls|leak')} THEN 'safety' WHEN {_has(_HEAD, 'inquiry|named|boss|chief')} THEN 'governance' WHEN {_has(_HEAD, 'jobs|staff|walk')} THEN 'labour' WHEN {_has(_HEAD, 'deal|venture|programme')} THEN 'deals' WHEN {_has(_HEAD, 'opens|expands|lifts')} THEN 'growth' END"
 
 
-@query("nar_classify", f"SELECT id, {_NAR} AS tag, CASE WHEN {_NAR} IN ('safety','governance','labour') THEN 'crisis' WHEN {_NAR} IS NOT NULL THEN 'non_crisis' END AS grp FROM articles WHERE {_ASCII}")
+@query("nar_classify", f"SELECT id, {_NAR} AS tag, CASE WHEN {_NAR} IN ('safety','governance','labour') THEN 'crisis' WHEN {_NAR} IS NOT NULL THEN 'non_crisis' END AS grp FROM articles")
 def _nar(spark, sf):
-    return _narratives(_ascii(spark, sf))
-
-
-@query("nar_classify_whole")
-def _nar_whole(spark, sf):
     return _narratives(table(spark, sf, "articles"))
 
 
@@ -913,12 +881,15 @@ def _nar_day(spark, sf):
 
 # --- entity merges -----------------------------------------------------------------
 
-_MOVE = "(SELECT max(name) AS old, min(name) AS new FROM companies WHERE name IN ('Brujemura Hospitality', 'Brujemura Technologies'))"
+#: Two companies of the first word that several share: the later one is merged into the earlier.
+_MOVE = """(SELECT max(name) AS old, min(name) AS new FROM companies WHERE split_part(name, ' ', 1) =
+(SELECT min(w) FROM (SELECT split_part(name, ' ', 1) AS w FROM companies GROUP BY 1 HAVING count(*) > 1)))"""
 
 
 def _moves(spark, sf):
-    k = table(spark, sf, "companies").filter(F.col("name").isin("Brujemura Hospitality", "Brujemura Technologies"))
-    return k.agg(F.max("name").alias("old"), F.min("name").alias("new"))
+    k = table(spark, sf, "companies").select("name", F.split("name", " ")[0].alias("w"))
+    pair = k.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.max("name").alias("old"), F.min("name").alias("new")).filter("n > 1")
+    return pair.agg(F.min_by(F.struct("old", "new"), "w").alias("p")).select("p.old", "p.new")
 
 
 @query("mrg_rekey", f"""SELECT company, article_type, date, edition, summary_id FROM (SELECT coalesce(CASE WHEN s.company = m.old THEN m.new END, s.company) AS company, article_type, date, edition, summary_id,
@@ -936,12 +907,14 @@ def _preview(spark, sf):
     return maintain.overlap(s, "company", F.lit(m.old), F.lit(m.new), ["date", "article_type", "edition"])
 
 
-@query("mrg_metadata", "SELECT a.id, coalesce(nullif(a.sector, ''), nullif(b.sector, '')) AS sector, a.favorite OR b.favorite AS favorite FROM companies a JOIN companies b ON b.ticker = a.ticker AND a.id <= b.id")
+@query("mrg_metadata", """WITH g AS (SELECT split_part(name, ' ', 1) AS w, min(id) AS target FROM companies GROUP BY 1 HAVING count(*) > 1)
+SELECT t.id AS target, s.id AS source, coalesce(nullif(t.sector, ''), nullif(s.sector, '')) AS sector, t.favorite OR s.favorite AS favorite
+FROM g JOIN companies t ON t.id = g.target JOIN companies s ON split_part(s.name, ' ', 1) = g.w AND s.id <> t.id""")
 def _metadata(spark, sf):
-    a = table(spark, sf, "companies")
-    b = a.select(F.col("id").alias("bid"), "ticker", F.col("sector").alias("bs"), F.col("favorite").alias("bf"))
-    j = a.join(b, "ticker").filter("id <= bid")
-    return j.select("id", maintain.filled(F.col("sector"), F.col("bs")).alias("sector"), (F.col("favorite") | F.col("bf")).alias("favorite"))
+    k = table(spark, sf, "companies").withColumn("w", F.split("name", " ")[0])
+    g = k.groupBy("w").agg(F.min_by(F.struct("id", "sector", "favorite"), "id").alias("t"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    j = k.join(small(g), "w").filter("id != t.id")
+    return j.select(F.col("t.id").alias("target"), F.col("id").alias("source"), maintain.filled(F.col("t.sector"), F.col("sector")).alias("sector"), (F.col("t.favorite") | F.col("favorite")).alias("favorite"))
 
 
 @query("mrg_coverage", "SELECT 'items' AS table_name, count(*) AS n, min(date) AS first, max(date) AS last FROM serp_feature_items UNION ALL SELECT 'summary', count(*), min(date), max(date) FROM negative_articles_summary")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SENTIMENTS = ("positive", "neutral", "negative")
@@ -45,17 +45,34 @@ def modal(value: Column) -> Column:
     return F.mode(F.nullif(value, F.lit("")), deterministic=True)
 
 
+def exact_percentile(df: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
+    """``(keys, n, p)``: each key's number of values and exact percentile with linear interpolation; nulls do not count.
+
+    Rows become counts by key and value before the shuffle, so a key holds as many
+    rows as it has different values; these are sorted, not gathered in memory.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    run = Window.partitionBy(*keys).orderBy("__v")
+    ranked = counts.withColumn("__upto", F.sum("__c").over(run)).withColumn("n", F.sum("__c").over(Window.partitionBy(*keys)))
+    at = F.lit(share) * (F.col("n") - 1)
+    low, high = (F.min(F.when(F.col("__upto") > f(at), F.col("__v"))) for f in (F.floor, F.ceil))
+    got = ranked.groupBy(*keys, "n").agg(low.alias("__low"), high.alias("__high"))
+    part = at - F.floor(at)
+    return got.select(*keys, "n", ((1 - part) * F.col("__low") + part * F.col("__high")).alias("p"))
+
+
 def risk_scores(df: DataFrame, keys: list[str], count: str, gate: str, min_history: int = 14, floor: float = 15.0, share: float = 0.97, weight: int = 2) -> DataFrame:
     """``df`` with ``baseline_p97`` and ``risk_score``.
 
     The baseline is the key's exact percentile of ``count`` with linear
     interpolation, or ``floor`` where the history is shorter than ``min_history``.
     """
-    base = df.groupBy(*keys).agg(F.count(count).alias("__n"), F.percentile(count, share).alias("__p"))
-    base = base.select(*(F.col(k).alias(f"__{k}") for k in keys), F.when(F.col("__n") >= min_history, F.col("__p")).otherwise(floor).alias("baseline_p97"))
+    base = exact_percentile(df, keys, count, share)
+    base = base.select(*(F.col(k).alias(f"__{k}") for k in keys), F.when(F.col("n") >= min_history, F.col("p")).otherwise(floor).alias("__base"))
     on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    joined = df.join(base, on, "left").withColumn("baseline_p97", F.coalesce("__base", F.lit(floor))).drop("__base")
     score = F.greatest(F.col(count) - F.col("baseline_p97"), F.lit(0.0)) + weight * F.col(gate)
-    return df.join(base, on).drop(*(f"__{k}" for k in keys)).withColumn("risk_score", score)
+    return joined.drop(*(f"__{k}" for k in keys)).withColumn("risk_score", score)
 
 
 def top_texts(df: DataFrame, keys: list[str], text: Column, order: list[str], most: int = 3, sep: str = "|") -> DataFrame:
@@ -63,8 +80,6 @@ def top_texts(df: DataFrame, keys: list[str], text: Column, order: list[str], mo
 
     Ranks are cut per partition before the shuffle by keeping the least ones only.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*keys).orderBy(*order)
     # Spark keeps only the first ranks of each key before the shuffle (a window group limit).
     first = df.withColumn("__t", text).withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= most)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.llm.catalog import HABITS
 from tidemark.llm.resolve import deletions, one_edit, resolve_values
 
 ENTRIES = [
@@ -53,7 +54,7 @@ def table(spark, rows):
 def test_values(spark):
     df = spark.createDataFrame([(v,) for v in [*VALUES, *VALUES, None, "", "  "]], "value string").withColumn("entry", F.lit("clash"))
     people = spark.createDataFrame([("Kito Tabralis",), ("Hir Zurodan",), (None,)], "name string")
-    got = {r.value: r.entry for r in resolve_values(df, table(spark, ENTRIES), people).collect()}
+    got = {r.value: r.entry for r in resolve_values(df, table(spark, ENTRIES), people, HABITS).collect()}
     assert {v: got.get(v) for v in VALUES} == VALUES
     assert len(got) == len(VALUES)
 

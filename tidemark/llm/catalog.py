@@ -10,7 +10,7 @@ from tidemark.llm.leakage import leaks
 from tidemark.llm.mixing import count_tokens, reached, replicate, source_plan
 from tidemark.llm.quality import flags, statistics
 from tidemark.llm.quantiles import percentiles, value_counts
-from tidemark.llm.resolve import hosts_of, resolve_values
+from tidemark.llm.resolve import Habits, hosts_of, resolve_values
 from tidemark.operators.packed import ADDRESS_DELIMITERS, unpack
 from tidemark.session import durable, small, table
 
@@ -21,6 +21,10 @@ def _typed(spark: SparkSession, sf: str) -> DataFrame:
     return modal.unionByName(serps)
 
 
+#: How the companies' web names are written.
+HABITS = Habits(("group", "news", "shop", "careers", "press", "media", "store", "corp"), ("example", "test", "com", "net", "org"), 3)
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """The entry meant by every typed name that is not exactly one."""
     companies = table(spark, sf, "companies")
@@ -31,7 +35,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     odd = _typed(spark, sf).filter("value is not null").join(small(exact), "value", "left_anti")
     odd = odd.filter(F.regexp_replace("value", r"[\s\p{Z}\p{Cf}]+", "") != "")
     people = table(spark, sf, "ceos").select("name")
-    answers = resolve_values(odd, entries, people)
+    answers = resolve_values(odd, entries, people, HABITS)
     return odd.join(answers, "value").select("table_name", "row_id", F.col("entry").alias("company_id"))
 
 

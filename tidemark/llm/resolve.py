@@ -9,6 +9,8 @@ entry fits as well. Tickers and web addresses are tokens of their own kind.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,11 +22,30 @@ LEGAL = (
     "inc incorporated corp corporation co company ltd limited llc lp llp plc ag sa nv se gmbh kg spa ab oy as pty "
     "holdings holding group intl international the of and s"
 ).split()
-#: Decorations of a firm's web names.
-HOST_TAILS = r"(?:-?(?:group|news|shop|careers|press|media|store|corp))$"
 
-#: A web address within a text; a top-level domain in capitals must be a known one, as ``DRST.QX`` is a ticker.
-ADDRESS = r"(?:(?i:https?)://)?(?:[A-Za-z0-9-]+\.)+(?:(?i:example|test|com|net|org)|[a-z]{2})(?:/\S*)?(?=[\s)\"”’]|$)"
+
+@dataclass(frozen=True)
+class Habits:
+    """How the addresses and abbreviations of a reference list are written; what a list does not have is left empty.
+
+    ``host_tails`` are words that firms hang onto their web names, ``top_levels`` the
+    top-level domains that count in any case of letters (others in lower case
+    only, as ``DRST.QX`` is a ticker), ``label_cut`` the number of letters of a
+    name's second word that a web name may add to the first; 0 for none.
+    """
+
+    host_tails: tuple[str, ...] = ()
+    top_levels: tuple[str, ...] = ("com", "net", "org")
+    label_cut: int = 0
+
+    def address(self) -> str:
+        return rf"(?:(?i:https?)://)?(?:[A-Za-z0-9-]+\.)+(?:(?i:{'|'.join(self.top_levels)})|[a-z]{{2}})(?:/\S*)?(?=[\s)\"”’]|$)"
+
+    def bare(self, host: str) -> Column:
+        """The name within a host: without its top level and the words hung onto it."""
+        label = F.regexp_replace(host, r"\.[a-z.]+$", "")
+        return F.regexp_replace(label, f"(?:-?(?:{'|'.join(self.host_tails)}))$", "") if self.host_tails else label
+
 
 #: Longest reference list that is sent to the executors.
 MAX_BROADCAST_ENTRIES = 10_000
@@ -82,21 +103,21 @@ def reference_tokens(entries: DataFrame) -> DataFrame:
     return words.groupBy("token", "entry").agg(F.max("idf").alias("idf"), F.max("head").alias("head"), F.max("later").alias("later"))
 
 
-def address_keys(entries: DataFrame) -> DataFrame:
+def address_keys(entries: DataFrame, habits: Habits = Habits()) -> DataFrame:
     """``(key, entry)``: host names of entries, their bare labels, and the labels their names make.
 
-    A name makes its first word, that word with the first three letters of the
-    second, and all words run together. A key of several entries stays with all.
+    A name makes its first word, that word with the first ``label_cut`` letters of
+    the second, and all words run together. A key of several entries stays with all.
     """
     host = F.explode_outer("hosts")
     hosts = entries.select(F.col("id").alias("entry"), host.alias("host"))
-    label = F.regexp_replace(F.regexp_replace("host", r"\.[a-z.]+$", ""), HOST_TAILS, "")
+    label = habits.bare("host")
     listed = hosts.select("entry", F.explode_outer(F.array("host", label)).alias("key"), F.lit(0).alias("rank"))
     t = name_tokens(F.col("name"))
     made = entries.select(
         F.col("id").alias("entry"),
         F.explode_outer(
-            F.array(F.get(t, 0), F.concat(F.get(t, 0), F.substring(F.coalesce(F.get(t, 1), F.lit("")), 1, 3)), F.array_join(t, ""))
+            F.array(F.get(t, 0), F.concat(F.get(t, 0), F.substring(F.coalesce(F.get(t, 1), F.lit("")), 1, habits.label_cut)), F.array_join(t, ""))
         ).alias("key"),
         F.lit(1).alias("rank"),
     )
@@ -113,7 +134,7 @@ def hosts_of(text: Column) -> Column:
     return F.transform(found, lambda h: F.regexp_replace(h, r"^www\.", ""))
 
 
-def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | None = None) -> DataFrame:
+def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | None = None, habits: Habits = Habits()) -> DataFrame:
     """``(value, entry)`` for each distinct non-blank value of ``values.value``; ``entry`` is ``''`` if unmatched.
 
     ``entries`` is the reference list (``id, name, ticker, hosts``), ``people`` (``name``)
@@ -127,16 +148,16 @@ def resolve_values(values: DataFrame, entries: DataFrame, people: DataFrame | No
     """
     distinct = values.select("value").filter("value is not null").distinct().filter(F.regexp_replace("value", r"[\s\p{Z}\p{Cf}]+", "") != "")
     legal = F.array(*map(F.lit, LEGAL))
-    toks = durable(distinct).select("value", hosts_of(F.col("value")).alias("hosts"), F.regexp_replace("value", ADDRESS, " ").alias("rest"))
+    toks = durable(distinct).select("value", hosts_of(F.col("value")).alias("hosts"), F.regexp_replace("value", habits.address(), " ").alias("rest"))
 
     # Everything made from the reference list is bounded by it: one check of its size serves all joins.
     within = entries.limit(MAX_BROADCAST_ENTRIES + 1).count() <= MAX_BROADCAST_ENTRIES
     hint = F.broadcast if within else (lambda d: d)
     ref = durable(reference_tokens(entries))
     # 1. web addresses
-    keys = durable(address_keys(entries))
+    keys = durable(address_keys(entries, habits))
     host = toks.select("value", F.explode_outer("hosts").alias("host"))
-    label = F.regexp_replace(F.regexp_replace("host", r"\.[a-z.]+$", ""), HOST_TAILS, "")
+    label = habits.bare("host")
     full = F.regexp_replace("host", r"\.[a-z.]+$", "")
     by_host = (
         host.select("value", F.posexplode_outer(F.array("host", full, label)).alias("rank", "key"))

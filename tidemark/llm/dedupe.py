@@ -191,9 +191,9 @@ def title_keys(words: list[str], caps: list[bool] | None, cut: bool) -> Iterator
     for i, w in enumerate(words):
         if i >= MIN_CUT - 1:
             key = _mixed(begun + i * _ODD & _WIDE)
-            yield "h", i, key, w, None
+            yield "h", 0, key, w, None
             if cut and i == len(words) - 1:
-                yield "c", i, key, w, None
+                yield "c", 0, key, w, None
         begun = begun + hashed[i] & _WIDE
         if len(words) < 2 or (caps is not None and caps[i]) or any(c.isnumeric() for c in w):
             continue
@@ -215,15 +215,16 @@ def _title_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for kind, part, key, word, at in title_keys(words, caps, cut):
                 rows.append(i)
                 found.append((kind, near if part is None else part, key, word, at))
-        take = pa.array(rows, pa.int64())
         kind, part, key, word, at = zip(*found, strict=True) if found else ((),) * 5
-        cols = [pa.array(kind, pa.string()), pa.array(part, pa.int32()), pa.array(key, pa.int64()), batch.column("node").take(take), batch.column("turn").take(take)]
-        cols += [pa.array(word, pa.string()), pa.array(at, pa.int32()), batch.column("d").take(take)]
-        yield pa.RecordBatch.from_arrays(cols, ["kind", "part", "key", "node", "turn", "word", "at", "d"])
+        # distances belong to the pivot table, turns to beginnings; elsewhere they would only take room
+        all_, near, begun = (pa.array([i if k in kinds else None for i, k in zip(rows, kind, strict=True)], pa.int64()) for kinds in ("nhc", "n", "h"))
+        cols = [pa.array(kind, pa.string()), pa.array(part, pa.int32()), pa.array(key, pa.int64()), batch.column("node").take(all_), batch.column("turn").take(begun)]
+        cols += [pa.array(word, pa.string()), pa.array(at, pa.int32()), batch.column("d").take(near)]
+        yield pa.RecordBatch.from_arrays([batch.column("batch").take(all_), *cols], ["batch", "kind", "part", "key", "node", "turn", "word", "at", "d"])
 
 
 def title_facts(titles: DataFrame, pivots: list[str]) -> DataFrame:
-    """``(kind, part, key, node, turn, word, at, d)``: what a title is found by.
+    """``(batch, kind, part, key, node, turn, word, at, d)``: what a title is found by.
 
     Kind ``n``, the pivot table, has rows for each ``word`` that a slip may touch:
     ``key`` hashes all other words with the word's place ``at``, and the word's
@@ -231,19 +232,23 @@ def title_facts(titles: DataFrame, pivots: list[str]) -> DataFrame:
     up to four letters also come without); what many titles have in common is
     split by the word itself. Words written as names and words with figures get
     none. ``d`` holds the distances to the pivots, ``part`` is the range of the first.
-    Kind ``h`` has the beginnings of at least ``MIN_CUT - 1`` words, ``part`` being
-    their number, with the ``word`` that follows; ``c`` that of a title whose end was
-    cut off: its last word may be cut itself, so the words before it make its beginning.
+    Kind ``h`` has the beginnings of at least ``MIN_CUT - 1`` words with the ``word``
+    that follows; ``c`` that of a title whose end was cut off: its last word may be
+    cut itself, so the words before it make its beginning.
     """
     d = F.array(*(F.levenshtein(F.array_join("words", " "), F.lit(p)) for p in pivots))
-    given = titles.select("node", "turn", "words", "caps", "cut", d.alias("d")).withColumn("near", F.floor(F.col("d")[0] / BAND).cast("int"))
+    given = titles.select("batch", "node", "turn", "words", "caps", "cut", d.alias("d")).withColumn("near", F.floor(F.col("d")[0] / BAND).cast("int"))
     turn = given.schema["turn"].dataType.simpleString()
-    return given.mapInArrow(_title_rows, f"kind string, part int, key bigint, node bigint, turn {turn}, word string, at int, d array<int>")
+    return given.mapInArrow(_title_rows, f"batch int, kind string, part int, key bigint, node bigint, turn {turn}, word string, at int, d array<int>")
 
 
 @dataclass
 class Store:
-    """The accepted articles as written tables under ``path``: ``facts`` (pivot table, beginnings, links) and ``edges``."""
+    """The accepted articles as written tables under ``path``: ``facts`` (pivot table, beginnings, links) and ``edges``.
+
+    Batches, kinds of facts and ranges are folders, so that choosing among them
+    opens no file and makes no new code for each batch.
+    """
 
     spark: SparkSession
     path: str
@@ -253,8 +258,8 @@ class Store:
     def facts(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/facts")
 
-    def edges(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/edges")
+    def edges(self, batch: int | None = None) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/edges" if batch is None else f"{self.path}/edges/batch={batch}")
 
     def drop(self) -> None:
         drop_folder(self.spark, self.path)
@@ -265,64 +270,76 @@ def new_store(spark: SparkSession, pivots: list[str]) -> Store:
     return Store(spark, f"{shared_folder(spark)}/articles-{uuid.uuid4().hex}", pivots)
 
 
-def append_batch(store: Store, rows: DataFrame, batch: int, n_rows: int) -> DataFrame:
-    """Checks the ``n_rows`` index rows of a batch against all that was accepted before, and appends it.
-
-    Returns the edges found, ``(kind, node_a, node_b, turn_b, at)``, which are kept in
-    the store as well. Copies of a title are one title here. Of the history only
-    the ranges of the pivot table and the lengths of beginnings that the batch
-    has are read. A batch that was appended before must not be appended again.
-    """
-    titles = rows.groupBy("node").agg(
+def append_rows(store: Store, rows: DataFrame) -> None:
+    """Appends what the titles and links of index rows are found by; each batch's own titles once, whatever their copies."""
+    titles = rows.groupBy("batch", "node").agg(
         F.min(F.struct("turn", "words", "cut")).alias("r"),
         # the casing of the first copy that tells names apart
         F.min(F.when(F.col("caps").isNotNull(), F.struct("turn", "caps"))).alias("c"),
     )
-    titles = titles.select("node", "r.turn", "r.words", "r.cut", F.col("c.caps").alias("caps")).filter(F.size("words") >= 2)
+    titles = titles.select("batch", "node", "r.turn", "r.words", "r.cut", F.col("c.caps").alias("caps")).filter(F.size("words") >= 2)
     none = F.lit(None)
-    links = rows.filter("link is not null").groupBy("link", "node").agg(F.min("turn").alias("turn"))
-    links = links.select(F.lit("l").alias("kind"), F.lit(0).alias("part"), F.xxhash64("link").alias("key"), "node", "turn", F.col("link").alias("word"), none.cast("int").alias("at"), none.cast("array<int>").alias("d"))
-    fresh = title_facts(titles, store.pivots).unionByName(links).withColumn("batch", F.lit(batch))
+    links = rows.filter("link is not null").groupBy("batch", "link", "node").agg(F.min("turn").alias("turn"))
+    links = links.select("batch", F.lit("l").alias("kind"), F.lit(0).alias("part"), F.xxhash64("link").alias("key"), "node", "turn", F.col("link").alias("word"), none.cast("int").alias("at"), none.cast("array<int>").alias("d"))
+    fresh = title_facts(titles, store.pivots).unionByName(links)
     store.schema = fresh.schema
     # Ranges of even size, however the titles spread over them.
-    fresh.hint("rebalance", "kind", "part").write.partitionBy("kind", "part").mode("append").parquet(f"{store.path}/facts")
-    facts = store.facts()
-    hint = F.broadcast if n_rows <= BROADCAST_BATCH else (lambda df: df)
+    fresh.hint("rebalance", "batch", "kind", "part").write.partitionBy("batch", "kind", "part").mode("append").parquet(f"{store.path}/facts")
 
-    def old(kind: str) -> DataFrame:
-        return facts.filter(F.col("kind") == kind).select(F.col("part"), "key", F.col("node").alias("node_b"), F.col("turn").alias("turn_b"), F.col("word").alias("word_b"), F.col("d").alias("d_b"), "batch")
 
-    def new(kind: str) -> DataFrame:
-        return facts.filter((F.col("kind") == kind) & (F.col("batch") == batch)).drop("kind", "batch")
+def meet(store: Store, batch: int, n_rows: int) -> DataFrame:
+    """Edges ``(kind, node_a, node_b, turn_b, at)`` of an appended batch of ``n_rows`` to all that was accepted up to it; kept in the store.
 
+    Of the history only the ranges of the pivot table that the batch reaches are
+    read. A batch of more than ``BROADCAST_BATCH`` rows is shuffled to them.
+    """
+    facts = store.facts().filter(F.col("batch") <= batch)
+    own = store.facts().filter(F.col("batch") == batch)
+    hint = F.broadcast if n_rows <= BROADCAST_BATCH else (lambda df: df)
+    near, kind = F.col("kind") == "n", F.col("kind")
     # The range of a title and its neighbours within the radius: at most two ranges.
     reach = F.sequence(F.floor((F.col("d")[0] - RADIUS) / BAND).cast("int"), F.floor((F.col("d")[0] + RADIUS) / BAND).cast("int"))
-    seek = new("n").drop("part").withColumn("part", F.explode_outer(reach))
-    close = F.lit(True)
+    # Titles seek titles; cut ends seek beginnings; beginnings seek the cut ends that were waiting for them.
+    seek = own.filter("kind != 'l'").select(
+        F.when(kind == "c", "h").when(kind == "h", "c").otherwise("n").alias("kind"),
+        F.explode_outer(F.when(near, reach).otherwise(F.array("part"))).alias("part"),
+        "key", "node", "turn", "word", "at", "d",
+    )
+    old = facts.filter("kind != 'l'").select("kind", "part", "key", *(F.col(c).alias(f"old_{c}") for c in ("node", "turn", "word", "d")))
+    close = F.col("word") != F.col("old_word")
     for i in range(len(store.pivots)):
-        close = close & (F.abs(F.col("d")[i] - F.col("d_b")[i]) <= RADIUS)
-    met = old("n").join(hint(seek), ["part", "key"]).filter((F.col("node") != F.col("node_b")) & close)
-    near = met.filter((F.col("word") != F.col("word_b")) & one_edit(F.col("word"), F.col("word_b")))
+        close = close & (F.abs(F.col("d")[i] - F.col("old_d")[i]) <= RADIUS)
 
     def goes_on(cut_word: str, word: str) -> Column:
         return F.when(F.col(cut_word).rlike(r"\p{N}"), F.col(cut_word) == F.col(word)).otherwise(F.col(word).startswith(F.col(cut_word)))
 
-    cut = old("h").join(hint(new("c")), ["part", "key"]).filter((F.col("node") != F.col("node_b")) & goes_on("word", "word_b"))
-    # Cut titles of the history that a new title continues.
-    waiting = old("c").filter(F.col("batch") < batch).join(hint(new("h")), ["part", "key"]).filter((F.col("node") != F.col("node_b")) & goes_on("word_b", "word"))
-    # All titles of a page are tied to its earliest one: the same one for every later batch.
-    own = new("l").select("key", "word", "node")
-    hub = facts.filter("kind = 'l'").join(hint(own.select("key", "word").distinct()), ["key", "word"], "left_semi").groupBy("key", "word").agg(F.min(F.struct("turn", "node")).alias("h"))
-    linked = own.join(hub, ["key", "word"]).filter("node != h.node")
-    kinds = {k: F.lit(k).alias("kind") for k in "ncl"}
-    edges = (
-        near.select(kinds["n"], F.col("node").alias("node_a"), "node_b", "turn_b", "at")
-        .unionByName(cut.select(kinds["c"], F.col("node").alias("node_a"), "node_b", "turn_b", none.cast("int").alias("at")))
-        .unionByName(waiting.select(kinds["c"], F.col("node_b").alias("node_a"), F.col("node").alias("node_b"), F.col("turn").alias("turn_b"), none.cast("int").alias("at")))
-        .unionByName(linked.select(kinds["l"], F.col("node").alias("node_a"), F.col("h.node").alias("node_b"), F.col("h.turn").alias("turn_b"), none.cast("int").alias("at")))
+    met = old.join(hint(seek), ["kind", "part", "key"]).filter(F.col("node") != F.col("old_node"))
+    met = met.filter(F.when(near, close & one_edit(F.col("word"), F.col("old_word"))).when(kind == "h", goes_on("word", "old_word")).otherwise(goes_on("old_word", "word")))
+    waited = kind == "c"
+    found = met.select(
+        F.when(near, "n").otherwise("c").alias("kind"),
+        F.when(waited, F.col("old_node")).otherwise(F.col("node")).alias("node_a"),
+        F.when(waited, F.col("node")).otherwise(F.col("old_node")).alias("node_b"),
+        F.when(waited, F.col("turn")).otherwise(F.col("old_turn")).alias("turn_b"),
+        F.when(near, F.col("at")).alias("at"),
     )
-    edges.withColumn("batch", F.lit(batch)).coalesce(8).write.mode("append").parquet(f"{store.path}/edges")
-    return store.edges().filter(F.col("batch") == batch).drop("batch")
+    # All titles of a page are tied to its earliest one: the same one for every later batch.
+    pages = own.filter("kind = 'l'").select("key", "word", "node")
+    hub = facts.filter("kind = 'l'").join(hint(pages.select("key", "word").distinct()), ["key", "word"], "left_semi").groupBy("key", "word").agg(F.min(F.struct("turn", "node")).alias("h"))
+    linked = pages.join(hub, ["key", "word"]).filter("node != h.node")
+    linked = linked.select(F.lit("l").alias("kind"), F.col("node").alias("node_a"), F.col("h.node").alias("node_b"), F.col("h.turn").alias("turn_b"), F.lit(None).cast("int").alias("at"))
+    found.unionByName(linked).coalesce(8).write.parquet(f"{store.path}/edges/batch={batch}")
+    return store.edges(batch)
+
+
+def append_batch(store: Store, rows: DataFrame, batch: int, n_rows: int) -> DataFrame:
+    """Appends the index rows of one batch and returns its edges to all that was accepted before; see ``meet``.
+
+    Rows of earlier batches are neither canonicalised nor keyed again. A batch that
+    was appended before must not be appended again.
+    """
+    append_rows(store, rows)
+    return meet(store, batch, n_rows)
 
 
 def accepted_links(edges: DataFrame, rows: DataFrame) -> DataFrame:
@@ -398,8 +415,7 @@ def find_repeats(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("id",
     """``(id_a, id_b, turn)`` of all articles that repeat an earlier one, batch after batch against a stored pivot table.
 
     The first batch is the history, from whose titles the pivots are chosen. Each
-    later one meets only what was stored before it; see ``append_batch`` and
-    ``repeats``. Extra columns of ``df`` are ignored; repeated rows repeat
+    later one meets only what was stored before it; see ``meet`` and ``repeats``. Extra columns of ``df`` are ignored; repeated rows repeat
     themselves; an empty table gives an empty result.
     """
     spark = df.sparkSession
@@ -413,8 +429,10 @@ def find_repeats(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("id",
         raise ValueError(f"more than {MAX_BATCHES} batches")
     if sizes:
         store.pivots = choose_pivots(rows.filter(F.col("batch") == sizes[0].batch))
+        # What a title is found by depends on the title alone: the batches that are there already are keyed in one pass.
+        append_rows(store, rows)
     for size in sizes:
-        append_batch(store, rows.filter(F.col("batch") == size.batch), size.batch, size["count"])
+        meet(store, size.batch, size["count"])
     if sizes:
         found = durable(repeats(rows, durable(accepted_links(store.edges(), rows))))
     else:

@@ -21,7 +21,7 @@ ALERT_TAILS = [" Inc.", " Inc", " Corporation", " Corp.", " Corp", " Company", "
 IGNORED = "inc incorporated corporation corp company co llc ltd limited plc group holdings holding the and of services".split()
 
 
-def _alternation(tails: list[str]) -> str:
+def alternation(tails: list[str]) -> str:
     longest = sorted(tails, key=len, reverse=True)
     return "(?:" + "|".join(t.replace(".", r"\.") for t in longest) + ")$"
 
@@ -54,7 +54,7 @@ def ingest_simple(name: Column) -> Column:
 
 def feature_key(name: Column) -> Column:
     """One trailing legal form cut, punctuation deleted, lower case."""
-    cut = F.trim(F.regexp_replace(F.trim(F.coalesce(name, F.lit(""))), "(?i)" + _alternation(TAILS), ""))
+    cut = F.trim(F.regexp_replace(F.trim(F.coalesce(name, F.lit(""))), "(?i)" + alternation(TAILS), ""))
     return F.trim(F.regexp_replace(F.lower(cut), r"[^\p{L}\p{N}\s]", ""))
 
 
@@ -94,7 +94,7 @@ def aggregate_key(name: Column, aliases: dict[str, str] | None = None) -> Column
 
 def alert_key(name: Column) -> Column:
     """One trailing form cut, among them Group and Holdings; punctuation deleted, case kept."""
-    cut = F.trim(F.regexp_replace(F.trim(F.coalesce(name, F.lit(""))), "(?i)" + _alternation(ALERT_TAILS), ""))
+    cut = F.trim(F.regexp_replace(F.trim(F.coalesce(name, F.lit(""))), "(?i)" + alternation(ALERT_TAILS), ""))
     return F.regexp_replace(cut, r"[^\p{L}\p{N}_\s]", "")
 
 

@@ -354,7 +354,18 @@ def _nm_crm(spark, sf):
     return table(spark, sf, "companies").select("id", names.crm_key(F.col("name")).alias("k"))
 
 
-@query("nm_aggregate")
+def _cut(tails: list[str], text: str) -> str:
+    """SQL that cuts each legal form once from the end of a text, in the order of the list."""
+    for tail in tails:
+        text = "trim(regexp_replace({}, '{}$', ''))".format(text, tail.replace(".", "\\."))
+    return text
+
+
+_PUNCT = "'[^\\p{L}\\p{N}_\\s]', '', 'g'"
+
+
+@query("nm_aggregate", f"""SELECT id, CASE WHEN trim(name) = 'nan' THEN '' ELSE trim(regexp_replace(regexp_replace({_cut(names.AGGREGATE_TAILS, 'trim(name)')}, {_PUNCT}), '\\s+', ' ', 'g')) END AS a,
+regexp_replace(trim(regexp_replace(trim(name), '(?i){names.alternation(names.ALERT_TAILS)}', '')), {_PUNCT}) AS b FROM companies""")
 def _nm_aggregate(spark, sf):
     n = F.col("name")
     return table(spark, sf, "companies").select("id", names.aggregate_key(n).alias("a"), names.alert_key(n).alias("b"))
@@ -365,7 +376,19 @@ def _str_tokens(spark, sf):
     return table(spark, sf, "companies").select("id", names.name_tokens(F.col("name")).alias("tokens"))
 
 
-@query("str_handles")
+def _run(text: str) -> str:
+    return f"regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+
+def _forms(least: int, *forms: str) -> str:
+    return f"list_sort(list_distinct(list_filter([{', '.join(forms)}], lambda t: t IS NOT NULL AND length(t) >= {least})))"
+
+
+_FIRST, _LAST = _run("array_to_string(w[1:2], '')"), _run("array_to_string(w[-2:], '')")
+
+
+@query("str_handles", f"""SELECT id, {_forms(3, _run('name'), f'CASE WHEN len(w) >= 2 THEN {_FIRST} END', f'CASE WHEN len(w) >= 2 THEN {_LAST} END', _run('w[1]'), _run('w[-1]'))} AS person,
+{_forms(4, _run('name'), _FIRST)} AS company FROM (SELECT id, name, list_filter(regexp_split_to_array(name, '[^\\p{{L}}\\p{{N}}_]+'), lambda x: x <> '') AS w FROM ceos)""")
 def _str_handles(spark, sf):
     n = F.col("name")
     return table(spark, sf, "ceos").select("id", names.handle_tokens(n, person=True).alias("person"), names.handle_tokens(n).alias("company"))
@@ -417,7 +440,8 @@ def _url_domain(spark, sf):
     return t.select("item_id", F.explode(tails).alias("d")).join(small(n), "d", "left_semi").select("item_id").distinct()
 
 
-@query("url_company_domains")
+@query("url_company_domains", """SELECT id, list_sort(list_distinct(list_filter(list_transform(list_filter(list_transform(string_split(coalesce(websites, ''), '|'), lambda x: trim(x)), lambda p: p <> '' AND lower(p) <> 'nan'),
+lambda p: replace(lower(regexp_extract(CASE WHEN contains(p, '://') THEN p ELSE 'http://' || p END, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), 'www.', '')), lambda h: contains(h, '.')))) AS domains FROM companies""")
 def _url_domains(spark, sf):
     return table(spark, sf, "companies").select("id", urls.domains_of(F.col("websites")).alias("domains"))
 
@@ -490,13 +514,32 @@ def _subset(spark, sf):
     return resolve.token_subset(_serp_keys(spark, sf), "q", ref, "n", "v").withColumn("score", F.col("score").cast("bigint"))
 
 
-@query("resolve_tiers")
+def _agg(name: str) -> str:
+    return f"CASE WHEN trim({name}) = 'nan' THEN '' ELSE trim(regexp_replace(regexp_replace({_cut(names.AGGREGATE_TAILS, f'trim({name})')}, {_PUNCT}), '\\s+', ' ', 'g')) END"
+
+
+@query("resolve_tiers", f"""WITH n AS (SELECT company, lower({_agg('company')}) AS a FROM (SELECT DISTINCT company FROM ceo_articles_modal WHERE company NOT IN ('', 'nan'))),
+k AS (SELECT name, id, lower({_agg('name')}) AS b FROM companies),
+c AS (SELECT company, id, CASE WHEN company = name THEN 0 WHEN lower(company) = lower(name) THEN 1 WHEN a = b AND a <> '' THEN 2
+WHEN length(company) >= 3 AND length(name) >= 3 AND (contains(lower(company), lower(name)) OR contains(lower(name), lower(company))) THEN 3 END AS t FROM n, k)
+SELECT company, id, (['exact', 'case-insensitive', 'normalized', 'partial'])[t + 1] AS tier FROM (SELECT *, row_number() OVER (PARTITION BY company ORDER BY t, id) AS rn FROM c WHERE t IS NOT NULL) WHERE rn = 1""")
 def _tiers(spark, sf):
     m = table(spark, sf, "ceo_articles_modal").select("company")
     return resolve.tiers(m, "company", table(spark, sf, "companies"), "name", "id", names.aggregate_key)
 
 
-@query("resolve_fuzzy_account")
+def _crm(name: str) -> str:
+    forms = ", ".join(f"'{t}'" for t in names.FORM_TOKENS)
+    return f"array_to_string(list_filter(string_split(regexp_replace(replace(lower(coalesce({name}, '')), '&', ' and '), '[^a-z0-9]+', ' ', 'g'), ' '), lambda t: t <> '' AND NOT list_contains([{forms}], t)), ' ')"
+
+
+@query("resolve_fuzzy_account", f"""WITH n AS (SELECT DISTINCT {_crm('company')} AS k FROM ceo_articles_modal WHERE company IS NOT NULL), a AS (SELECT DISTINCT {_crm('name')} AS b, id FROM companies),
+p AS (SELECT k, b, id, list_distinct(string_split(k, ' ')) AS x, list_distinct(string_split(b, ' ')) AS y FROM n, a WHERE k <> '' AND b <> ''),
+o AS (SELECT *, len(list_intersect(x, y)) AS o FROM p),
+s AS (SELECT k, id, CAST(CASE WHEN k = b THEN 100 ELSE greatest(floor(100 * (0.65::DOUBLE * o / len(x) + 0.35::DOUBLE * o / len(y)) + 1e-9) - greatest(len(y) - len(x), 0) * 8
++ CASE WHEN starts_with(b, k || ' ') OR starts_with(k, b || ' ') THEN 5 ELSE 0 END - CASE WHEN split_part(k, ' ', 1) <> split_part(b, ' ', 1) THEN 10 ELSE 0 END, 0) END AS INTEGER) AS score FROM o WHERE o > 0),
+r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS next FROM s WINDOW w AS (PARTITION BY k ORDER BY score DESC, id))
+SELECT k, id, score FROM r WHERE rn = 1 AND score >= 78 AND score - coalesce(next, 0) >= 4""")
 def _fuzzy(spark, sf):
     m = table(spark, sf, "ceo_articles_modal").filter("company is not null").select(names.crm_key(F.col("company")).alias("k"))
     acc = table(spark, sf, "companies").select(names.crm_key(F.col("name")).alias("a"), "id")

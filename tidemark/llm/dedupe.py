@@ -313,7 +313,11 @@ def meet(store: Store, batch: int, n_rows: int) -> DataFrame:
     def goes_on(cut_word: str, word: str) -> Column:
         return F.when(F.col(cut_word).rlike(r"\p{N}"), F.col(cut_word) == F.col(word)).otherwise(F.col(word).startswith(F.col(cut_word)))
 
-    met = old.join(hint(seek), ["kind", "part", "key"]).filter(F.col("node") != F.col("old_node"))
+    keys = ["kind", "part", "key"]
+    if n_rows <= BROADCAST_BATCH:
+        # Only the keys travel; what they hit in the history is little, and meets the rest of the batch after that.
+        old = old.join(F.broadcast(seek.select(*keys)), keys, "left_semi")
+    met = old.join(seek, keys).filter(F.col("node") != F.col("old_node"))
     met = met.filter(F.when(near, close & one_edit(F.col("word"), F.col("old_word"))).when(kind == "h", goes_on("word", "old_word")).otherwise(goes_on("old_word", "word")))
     waited = kind == "c"
     found = met.select(

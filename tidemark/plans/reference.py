@@ -475,11 +475,9 @@ WITH e AS (SELECT name AS k, min(id) AS id FROM companies GROUP BY 1 HAVING coun
 n AS (SELECT {_ING.format('name')} AS k, min(id) AS id FROM companies GROUP BY 1 HAVING count(DISTINCT id) = 1 AND {_ING.format('any_value(name)')} <> ''),
 s AS (SELECT k, min(id) AS id FROM (SELECT {_simple(_ING.format('name'), ",'the'")} AS k, id FROM companies) WHERE k <> '' GROUP BY 1 HAVING count(DISTINCT id) = 1)
 SELECT m.row_id, coalesce(e.id, n.id, s.id) AS id, CASE WHEN e.id IS NOT NULL THEN 'exact' WHEN n.id IS NOT NULL THEN 'key' WHEN s.id IS NOT NULL THEN 'simple' END AS match_type
-FROM ceo_articles_modal m LEFT JOIN e ON e.k = m.company LEFT JOIN n ON n.k = {_ING.format('m.company')} LEFT JOIN s ON s.k = {_simple(_ING.format('m.company'), ",'the'")}
-WHERE m.company IS NOT NULL""")
+FROM ceo_articles_modal m LEFT JOIN e ON e.k = m.company LEFT JOIN n ON n.k = {_ING.format('m.company')} LEFT JOIN s ON s.k = {_simple(_ING.format('m.company'), ",'the'")}""")
 def _join_chain(spark, sf):
-    m = table(spark, sf, "ceo_articles_modal").filter("company is not null")
-    return _chained(spark, sf, m)
+    return _chained(spark, sf, table(spark, sf, "ceo_articles_modal"))
 
 
 def _chained(spark, sf, typed):

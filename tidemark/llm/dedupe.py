@@ -254,9 +254,13 @@ class Store:
     path: str
     pivots: list[str]
     schema: StructType | None = None
+    listed: DataFrame | None = None
 
     def facts(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/facts")
+        """All facts; their files are listed once after each append."""
+        if self.listed is None:
+            self.listed = self.spark.read.schema(self.schema).parquet(f"{self.path}/facts")
+        return self.listed
 
     def edges(self, batch: int | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/edges" if batch is None else f"{self.path}/edges/batch={batch}")
@@ -282,7 +286,7 @@ def append_rows(store: Store, rows: DataFrame) -> None:
     links = rows.filter("link is not null").groupBy("batch", "link", "node").agg(F.min("turn").alias("turn"))
     links = links.select("batch", F.lit("l").alias("kind"), F.lit(0).alias("part"), F.xxhash64("link").alias("key"), "node", "turn", F.col("link").alias("word"), none.cast("int").alias("at"), none.cast("array<int>").alias("d"))
     fresh = title_facts(titles, store.pivots).unionByName(links)
-    store.schema = fresh.schema
+    store.schema, store.listed = fresh.schema, None
     # Ranges of even size, however the titles spread over them.
     fresh.hint("rebalance", "batch", "kind", "part").write.partitionBy("batch", "kind", "part").mode("append").parquet(f"{store.path}/facts")
 

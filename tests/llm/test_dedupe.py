@@ -96,6 +96,27 @@ def test_a_batch_reads_its_ranges_only(spark):
     store.drop()
 
 
+def test_waiting_batches_are_one_arrival(spark):
+    # neither the jobs nor what they leave in the driver grow with the number of batches
+    def run(n):
+        rows = [(1000 * b + i, b, None, f"city council weighs {w} bridge repair plan {b + 10}{'…' if i else ''}", None) for b in range(n) for i, w in enumerate(("canal", "canla"))]
+        spark.sparkContext.setJobGroup(f"waiting-{n}", "")
+        try:
+            got = found(table(spark, rows), batch="batch_no")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got == {(1000 * b, 1000 * b + 1) for b in range(n)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"waiting-{n}"))
+
+    assert run(8) < 1.3 * run(3)
+
+
+def test_each_waiting_batch_meets_what_came_before_it(spark):
+    # the order of turns is not that of the batches: the page's first article is of batch 0, and has the last id
+    rows = [(9, 0, "https://p.example/a", "Council opens northern depot for the city", None), (5, 1, "https://p.example/a", "Quite another thing happened", None), (2, 2, "https://p.example/a", "Third of the kind", None)]
+    assert {(r.id_a, r.id_b) for r in find_repeats(table(spark, rows), batch="batch_no").collect()} == {(2, 5), (2, 9)}
+
+
 def test_names_known_later(spark):
     # in capitals nothing tells names apart; the copy that comes later does
     base = "{} plans wider offer for northern depots of the city"

@@ -53,7 +53,7 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Articles of later batches that repeat an earlier one; batches are appended to a stored pivot table one after the other."""
+    """Articles of later batches that repeat an earlier one; later batches meet a stored pivot table, each what was accepted up to it."""
     sources = table(spark, sf, "news_sources").select("source")
     found = find_repeats(table(spark, sf, "articles"), order=("batch_no", "id"), batch="batch_no", sources=sources)
     return found.filter("turn.o0 >= 1").select("id_a", "id_b")

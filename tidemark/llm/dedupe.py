@@ -4,13 +4,13 @@ An article's link and title are brought to a canonical form. Equal forms are
 found by grouping. Near titles are found by a stored pivot-distance table: for
 each distinct canonical title it holds the edit distances to a few fixed, far-apart
 pivot titles, and lies in ranges of the first of them. By the triangle inequality
-two titles within ``RADIUS`` edits differ by at most that from any pivot. A new
-batch reads the ranges its titles and their neighbours fall in, meets there the
-titles that agree with it in all words but one (a slip of the pen touches one),
-is pruned by the other pivots, and verified by the true distance of the words
-that differ. Its rows are then appended; rows of earlier batches are never
-written, canonicalised or keyed again, and if the batch is small they are not
-shuffled either.
+two titles within ``RADIUS`` edits differ by at most that from any pivot. What
+arrives, one batch or several that wait, is appended and meets the titles that
+agree with it in all words but one (a slip of the pen touches one), is pruned by
+the pivots, and verified by the true distance of the words that differ; each of
+its batches meets only what was accepted up to it. Rows of earlier batches are
+never written, canonicalised or keyed again; a small arrival reads only the
+ranges that its titles and their neighbours fall in, and shuffles no other rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,8 +36,10 @@ BAND = 2 * RADIUS + 1
 PIVOTS = 4
 #: Titles of the history among which the pivots are chosen.
 PIVOT_SAMPLE = 64
-#: Rows of a batch whose keys are sent to the executors; those of a larger batch are shuffled.
+#: Rows of an arrival whose keys are sent to the executors; those of a larger one are shuffled.
 BROADCAST_BATCH = 50_000
+#: Stored rows for each row of an arrival from which on sending its keys is less than shuffling the stored ones.
+BROADCAST_SHARE = 8
 #: Batches of one run.
 MAX_BATCHES = 10_000
 #: A cut title keeps at least this many words; it may lack any number of the whole one's.
@@ -178,8 +180,8 @@ def _mixed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def title_keys(words: list[str], caps: list[bool] | None, cut: bool) -> Iterator[tuple[str, int | None, int, str, int | None]]:
-    """``(kind, part, key, word, at)`` of a title; see ``title_facts``. Takes time in proportion to the words."""
+def title_keys(words: list[str], caps: list[bool] | None, cut: bool) -> Iterator[tuple[str, int, str, int | None]]:
+    """``(kind, key, word, at)`` of a title; see ``title_facts``. Takes time in proportion to the words."""
     import xxhash
 
     powers, value = [], 1
@@ -191,9 +193,9 @@ def title_keys(words: list[str], caps: list[bool] | None, cut: bool) -> Iterator
     for i, w in enumerate(words):
         if i >= MIN_CUT - 1:
             key = _mixed(begun + i * _ODD & _WIDE)
-            yield "h", 0, key, w, None
+            yield "h", key, w, None
             if cut and i == len(words) - 1:
-                yield "c", 0, key, w, None
+                yield "c", key, w, None
         begun = begun + hashed[i] & _WIDE
         if len(words) < 2 or (caps is not None and caps[i]) or any(c.isnumeric() for c in w):
             continue
@@ -202,31 +204,37 @@ def title_keys(words: list[str], caps: list[bool] | None, cut: bool) -> Iterator
         if len(w) >= 4:
             subs += ["<" + w[:2], ">" + w[-2:]]
         for sub in subs:
-            yield "n", None, _mixed(rest ^ xxhash.xxh64_intdigest(sub)), w, i + 1
+            yield "n", _mixed(rest ^ xxhash.xxh64_intdigest(sub)), w, i + 1
 
 
 def _title_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import pyarrow as pa
 
     for batch in batches:
-        rows, found = [], []
-        columns = (batch.column(c).to_pylist() for c in ("words", "caps", "cut", "near"))
-        for i, (words, caps, cut, near) in enumerate(zip(*columns, strict=True)):
-            for kind, part, key, word, at in title_keys(words, caps, cut):
+        rows, kinds, ends, found = [], [], [0], []
+        columns = (batch.column(c).to_pylist() for c in ("words", "caps", "cut"))
+        for i, (words, caps, cut) in enumerate(zip(*columns, strict=True)):
+            own: dict[str, list] = {}
+            for kind, *fact in title_keys(words, caps, cut):
+                own.setdefault(kind, []).append(fact)
+            for kind, facts in own.items():
                 rows.append(i)
-                found.append((kind, near if part is None else part, key, word, at))
-        kind, part, key, word, at = zip(*found, strict=True) if found else ((),) * 5
-        # distances belong to the pivot table, turns to beginnings; elsewhere they would only take room
-        all_, near, begun = (pa.array([i if k in kinds else None for i, k in zip(rows, kind, strict=True)], pa.int64()) for kinds in ("nhc", "n", "h"))
-        cols = [pa.array(kind, pa.string()), pa.array(part, pa.int32()), pa.array(key, pa.int64()), batch.column("node").take(all_), batch.column("turn").take(begun)]
-        cols += [pa.array(word, pa.string()), pa.array(at, pa.int32()), batch.column("d").take(near)]
-        yield pa.RecordBatch.from_arrays([batch.column("batch").take(all_), *cols], ["batch", "kind", "part", "key", "node", "turn", "word", "at", "d"])
+                kinds.append(kind)
+                found += facts
+                ends.append(len(found))
+        key, word, at = zip(*found, strict=True) if found else ((),) * 3
+        by = pa.StructArray.from_arrays([pa.array(key, pa.int64()), pa.array(word, pa.string()), pa.array(at, pa.int32())], ["key", "word", "at"])
+        # distances and ranges belong to the pivot table
+        all_, near = pa.array(rows, pa.int64()), pa.array([i if k == "n" else None for i, k in zip(rows, kinds, strict=True)], pa.int64())
+        cols = [batch.column("batch").take(all_), pa.array(kinds, pa.string()), batch.column("near").take(near).fill_null(0)]
+        cols += [batch.column("node").take(all_), batch.column("turn").take(all_), batch.column("d").take(near), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), by)]
+        yield pa.RecordBatch.from_arrays(cols, ["batch", "kind", "part", "node", "turn", "d", "found"])
 
 
 def title_facts(titles: DataFrame, pivots: list[str]) -> DataFrame:
-    """``(batch, kind, part, key, node, turn, word, at, d)``: what a title is found by.
+    """``(batch, kind, part, node, turn, d, found)``: a row of each kind that a title has; ``found (key, word, at)`` is what it is found by.
 
-    Kind ``n``, the pivot table, has rows for each ``word`` that a slip may touch:
+    Kind ``n``, the pivot table, has entries for each ``word`` that a slip may touch:
     ``key`` hashes all other words with the word's place ``at``, and the word's
     first or last two letters, of which one edit leaves one pair intact (words of
     up to four letters also come without); what many titles have in common is
@@ -239,7 +247,7 @@ def title_facts(titles: DataFrame, pivots: list[str]) -> DataFrame:
     d = F.array(*(F.levenshtein(F.array_join("words", " "), F.lit(p)) for p in pivots))
     given = titles.select("batch", "node", "turn", "words", "caps", "cut", d.alias("d")).withColumn("near", F.floor(F.col("d")[0] / BAND).cast("int"))
     turn = given.schema["turn"].dataType.simpleString()
-    return given.mapInArrow(_title_rows, f"batch int, kind string, part int, key bigint, node bigint, turn {turn}, word string, at int, d array<int>")
+    return given.mapInArrow(_title_rows, f"batch int, kind string, part int, node bigint, turn {turn}, d array<int>, found array<struct<key: bigint, word: string, at: int>>")
 
 
 @dataclass
@@ -262,6 +270,11 @@ class Store:
             self.listed = self.spark.read.schema(self.schema).parquet(f"{self.path}/facts")
         return self.listed
 
+    def opened(self, kind: str, last: int) -> DataFrame:
+        """``(batch, part, node, turn, d, key, word, at)`` of one kind up to batch ``last``: a row for each entry."""
+        of = self.facts().filter((F.col("kind") == kind) & (F.col("batch") <= last))
+        return of.select("batch", "part", "node", "turn", "d", F.inline("found"))
+
     def edges(self, batch: int | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/edges" if batch is None else f"{self.path}/edges/batch={batch}")
 
@@ -284,60 +297,53 @@ def append_rows(store: Store, rows: DataFrame) -> None:
     titles = titles.select("batch", "node", "r.turn", "r.words", "r.cut", F.col("c.caps").alias("caps")).filter(F.size("words") >= 2)
     none = F.lit(None)
     links = rows.filter("link is not null").groupBy("batch", "link", "node").agg(F.min("turn").alias("turn"))
-    links = links.select("batch", F.lit("l").alias("kind"), F.lit(0).alias("part"), F.xxhash64("link").alias("key"), "node", "turn", F.col("link").alias("word"), none.cast("int").alias("at"), none.cast("array<int>").alias("d"))
+    page = F.array(F.struct(F.xxhash64("link").alias("key"), F.col("link").alias("word"), none.cast("int").alias("at")))
+    links = links.select("batch", F.lit("l").alias("kind"), F.lit(0).alias("part"), "node", "turn", none.cast("array<int>").alias("d"), page.alias("found"))
     fresh = title_facts(titles, store.pivots).unionByName(links)
     store.schema, store.listed = fresh.schema, None
     # Ranges of even size, however the titles spread over them.
     fresh.hint("rebalance", "batch", "kind", "part").write.partitionBy("batch", "kind", "part").mode("append").parquet(f"{store.path}/facts")
 
 
-def meet(store: Store, batch: int, n_rows: int) -> DataFrame:
-    """Edges ``(kind, node_a, node_b, turn_b, at)`` of an appended batch of ``n_rows`` to all that was accepted up to it; kept in the store.
+def meet(store: Store, first: int, last: int, few: bool) -> DataFrame:
+    """Edges ``(kind, node_a, node_b, turn_b, at)`` of the appended batches ``first`` to ``last``, each to all that was accepted up to it; kept in the store.
 
-    Of the history only the ranges of the pivot table that the batch reaches are
-    read. A batch of more than ``BROADCAST_BATCH`` rows is shuffled to them.
+    Batches that wait together are met in one go: the number of jobs, and what they
+    take of the driver, does not grow with the batches. The keys of ``few`` rows go
+    to the executors, and of the history only the ranges of the pivot table that
+    they reach are read; else the keys of new and old rows are sorted together.
     """
-    facts = store.facts().filter(F.col("batch") <= batch)
-    own = store.facts().filter(F.col("batch") == batch)
-    hint = F.broadcast if n_rows <= BROADCAST_BATCH else (lambda df: df)
-    near, kind = F.col("kind") == "n", F.col("kind")
-    # The range of a title and its neighbours within the radius: at most two ranges.
-    reach = F.sequence(F.floor((F.col("d")[0] - RADIUS) / BAND).cast("int"), F.floor((F.col("d")[0] + RADIUS) / BAND).cast("int"))
-    # Titles seek titles; cut ends seek beginnings; beginnings seek the cut ends that were waiting for them.
-    seek = own.filter("kind != 'l'").select(
-        F.when(kind == "c", "h").when(kind == "h", "c").otherwise("n").alias("kind"),
-        F.explode_outer(F.when(near, reach).otherwise(F.array("part"))).alias("part"),
-        "key", "node", "turn", "word", "at", "d",
-    )
-    old = facts.filter("kind != 'l'").select("kind", "part", "key", *(F.col(c).alias(f"old_{c}") for c in ("node", "turn", "word", "d")))
+    fresh = F.col("batch") >= first
+    near, pages = store.opened("n", last), store.opened("l", last)
+    if few:
+        # The range of a title and its neighbours within the radius: at most two ranges.
+        reach = F.sequence(F.floor((F.col("d")[0] - RADIUS) / BAND).cast("int"), F.floor((F.col("d")[0] + RADIUS) / BAND).cast("int"))
+        sought = near.filter(fresh).select(F.explode(reach).alias("part"), "key")
+        near = near.join(F.broadcast(sought), ["part", "key"], "left_semi")
+        pages = pages.join(F.broadcast(pages.filter(fresh).select("key", "word")), ["key", "word"], "left_semi")
+    # Most keys belong to one title, or have nothing new; what is left is little, whatever its keys.
+    by_key = Window.partitionBy("key")
+    shared = (F.min("node").over(by_key) != F.max("node").over(by_key)) & (F.max("batch").over(by_key) >= first)
+    held = durable(near.select("batch", "node", "turn", "d", "key", "word", "at", shared.alias("shared")).filter("shared").drop("shared"))
+    old = held.select("key", *(F.col(c).alias(f"old_{c}") for c in ("batch", "node", "turn", "word", "d")))
     close = F.col("word") != F.col("old_word")
     for i in range(len(store.pivots)):
         close = close & (F.abs(F.col("d")[i] - F.col("old_d")[i]) <= RADIUS)
-
-    def goes_on(cut_word: str, word: str) -> Column:
-        return F.when(F.col(cut_word).rlike(r"\p{N}"), F.col(cut_word) == F.col(word)).otherwise(F.col(word).startswith(F.col(cut_word)))
-
-    keys = ["kind", "part", "key"]
-    if n_rows <= BROADCAST_BATCH:
-        # Only the keys travel; what they hit in the history is little, and meets the rest of the batch after that.
-        old = old.join(F.broadcast(seek.select(*keys)), keys, "left_semi")
-    met = old.join(seek, keys).filter(F.col("node") != F.col("old_node"))
-    met = met.filter(F.when(near, close & one_edit(F.col("word"), F.col("old_word"))).when(kind == "h", goes_on("word", "old_word")).otherwise(goes_on("old_word", "word")))
-    waited = kind == "c"
-    found = met.select(
-        F.when(near, "n").otherwise("c").alias("kind"),
-        F.when(waited, F.col("old_node")).otherwise(F.col("node")).alias("node_a"),
-        F.when(waited, F.col("node")).otherwise(F.col("old_node")).alias("node_b"),
-        F.when(waited, F.col("turn")).otherwise(F.col("old_turn")).alias("turn_b"),
-        F.when(near, F.col("at")).alias("at"),
-    )
-    # All titles of a page are tied to its earliest one: the same one for every later batch.
-    pages = own.filter("kind = 'l'").select("key", "word", "node")
-    hub = facts.filter("kind = 'l'").join(hint(pages.select("key", "word").distinct()), ["key", "word"], "left_semi").groupBy("key", "word").agg(F.min(F.struct("turn", "node")).alias("h"))
-    linked = pages.join(hub, ["key", "word"]).filter("node != h.node")
-    linked = linked.select(F.lit("l").alias("kind"), F.col("node").alias("node_a"), F.col("h.node").alias("node_b"), F.col("h.turn").alias("turn_b"), F.lit(None).cast("int").alias("at"))
-    found.unionByName(linked).coalesce(8).write.parquet(f"{store.path}/edges/batch={batch}")
-    return store.edges(batch)
+    met = held.filter(fresh).join(old, "key").filter("old_batch <= batch and node != old_node").filter(close & one_edit(F.col("word"), F.col("old_word")))
+    found = met.select(F.lit("n").alias("kind"), F.col("node").alias("node_a"), F.col("old_node").alias("node_b"), F.col("old_turn").alias("turn_b"), "at")
+    # New cut ends seek beginnings, and new beginnings seek the cut ends that were waiting for them.
+    begun, none = store.opened("h", last).select("batch", "node", "turn", "key", "word"), F.lit(None).cast("int").alias("at")
+    ends = store.opened("c", last).select("batch", "key", F.col("node").alias("node_a"), F.col("word").alias("end"))
+    goes_on = F.when(F.col("end").rlike(r"\p{N}"), F.col("end") == F.col("word")).otherwise(F.col("word").startswith(F.col("end")))
+    for seek, among in ((ends.filter(fresh), begun), (ends.filter(~fresh), begun.filter(fresh))):
+        ended = among.join(small(seek.drop("batch")), "key").filter(goes_on & (F.col("node") != F.col("node_a")))
+        found = found.unionByName(ended.select(F.lit("c").alias("kind"), "node_a", F.col("node").alias("node_b"), F.col("turn").alias("turn_b"), none))
+    # All titles of a page are tied to the one that came first: the same one for every later batch.
+    hub = F.min(F.struct("batch", "turn", "node")).over(Window.partitionBy("key", "word"))
+    linked = pages.select("batch", "node", hub.alias("h")).filter(fresh & (F.col("node") != F.col("h.node")))
+    found = found.unionByName(linked.select(F.lit("l").alias("kind"), F.col("node").alias("node_a"), F.col("h.node").alias("node_b"), F.col("h.turn").alias("turn_b"), none))
+    found.hint("rebalance").write.parquet(f"{store.path}/edges/batch={last}")
+    return store.edges(last)
 
 
 def append_batch(store: Store, rows: DataFrame, batch: int, n_rows: int) -> DataFrame:
@@ -347,7 +353,7 @@ def append_batch(store: Store, rows: DataFrame, batch: int, n_rows: int) -> Data
     was appended before must not be appended again.
     """
     append_rows(store, rows)
-    return meet(store, batch, n_rows)
+    return meet(store, batch, batch, n_rows <= BROADCAST_BATCH)
 
 
 def accepted_links(edges: DataFrame, rows: DataFrame) -> DataFrame:
@@ -420,10 +426,11 @@ def repeats(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def find_repeats(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("id",), batch: str | None = None, sources: DataFrame | None = None) -> DataFrame:
-    """``(id_a, id_b, turn)`` of all articles that repeat an earlier one, batch after batch against a stored pivot table.
+    """``(id_a, id_b, turn)`` of all articles that repeat an earlier one, new batches against a stored pivot table.
 
-    The first batch is the history, from whose titles the pivots are chosen. Each
-    later one meets only what was stored before it; see ``meet`` and ``repeats``. Extra columns of ``df`` are ignored; repeated rows repeat
+    The first batch is the history, from whose titles the pivots are chosen. The
+    later ones wait together and are one arrival, in which each meets only what was
+    stored up to it; see ``meet`` and ``repeats``. Extra columns of ``df`` are ignored; repeated rows repeat
     themselves; an empty table gives an empty result.
     """
     spark = df.sparkSession
@@ -439,9 +446,11 @@ def find_repeats(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("id",
         store.pivots = choose_pivots(rows.filter(F.col("batch") == sizes[0].batch))
         # What a title is found by depends on the title alone: the batches that are there already are keyed in one pass.
         append_rows(store, rows)
-    for size in sizes:
-        meet(store, size.batch, size["count"])
     if sizes:
+        meet(store, sizes[0].batch, sizes[0].batch, False)
+        if len(sizes) > 1:
+            n_new = sum(size["count"] for size in sizes[1:])
+            meet(store, sizes[1].batch, sizes[-1].batch, n_new <= min(BROADCAST_BATCH, sizes[0]["count"] // BROADCAST_SHARE))
         found = durable(repeats(rows, durable(accepted_links(store.edges(), rows))))
     else:
         found = rows.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), "turn").limit(0)

@@ -247,7 +247,8 @@ def title_facts(titles: DataFrame, pivots: list[str]) -> DataFrame:
     d = F.array(*(F.levenshtein(F.array_join("words", " "), F.lit(p)) for p in pivots))
     given = titles.select("batch", "node", "turn", "words", "caps", "cut", d.alias("d")).withColumn("near", F.floor(F.col("d")[0] / BAND).cast("int"))
     turn = given.schema["turn"].dataType.simpleString()
-    return given.mapInArrow(_title_rows, f"batch int, kind string, part int, node bigint, turn {turn}, d array<int>, found array<struct<key: bigint, word: string, at: int>>")
+    # Ranges of even size, however the titles spread over them; titles are moved, as what they are found by is several times as much.
+    return given.hint("rebalance", "batch", "near").mapInArrow(_title_rows, f"batch int, kind string, part int, node bigint, turn {turn}, d array<int>, found array<struct<key: bigint, word: string, at: int>>")
 
 
 @dataclass
@@ -299,15 +300,16 @@ def append_rows(store: Store, rows: DataFrame) -> None:
     links = rows.filter("link is not null").groupBy("batch", "link", "node").agg(F.min("turn").alias("turn"))
     page = F.array(F.struct(F.xxhash64("link").alias("key"), F.col("link").alias("word"), none.cast("int").alias("at")))
     links = links.select("batch", F.lit("l").alias("kind"), F.lit(0).alias("part"), "node", "turn", none.cast("array<int>").alias("d"), page.alias("found"))
-    fresh = title_facts(titles, store.pivots).unionByName(links)
+    fresh = title_facts(titles, store.pivots).unionByName(links.hint("rebalance", "batch"))
     store.schema, store.listed = fresh.schema, None
-    # Ranges of even size, however the titles spread over them.
-    fresh.hint("rebalance", "batch", "kind", "part").write.partitionBy("batch", "kind", "part").mode("append").parquet(f"{store.path}/facts")
+    fresh.write.partitionBy("batch", "kind", "part").mode("append").parquet(f"{store.path}/facts")
 
 
 def meet(store: Store, first: int, last: int, few: bool) -> DataFrame:
     """Edges ``(kind, node_a, node_b, turn_b, at)`` of the appended batches ``first`` to ``last``, each to all that was accepted up to it; kept in the store.
 
+    Slips have no ``turn_b``, as none of them is preferred to another.
+
     Batches that wait together are met in one go: the number of jobs, and what they
     take of the driver, does not grow with the batches. The keys of ``few`` rows go
     to the executors, and of the history only the ranges of the pivot table that
@@ -324,13 +326,14 @@ def meet(store: Store, first: int, last: int, few: bool) -> DataFrame:
     # Most keys belong to one title, or have nothing new; what is left is little, whatever its keys.
     by_key = Window.partitionBy("key")
     shared = (F.min("node").over(by_key) != F.max("node").over(by_key)) & (F.max("batch").over(by_key) >= first)
-    held = durable(near.select("batch", "node", "turn", "d", "key", "word", "at", shared.alias("shared")).filter("shared").drop("shared"))
-    old = held.select("key", *(F.col(c).alias(f"old_{c}") for c in ("batch", "node", "turn", "word", "d")))
+    held = durable(near.select("batch", "node", "d", "key", "word", "at", shared.alias("shared")).filter("shared").drop("shared"))
+    old = held.select("key", *(F.col(c).alias(f"old_{c}") for c in ("batch", "node", "word", "d")))
     close = F.col("word") != F.col("old_word")
     for i in range(len(store.pivots)):
         close = close & (F.abs(F.col("d")[i] - F.col("old_d")[i]) <= RADIUS)
     met = held.filter(fresh).join(old, "key").filter("old_batch <= batch and node != old_node").filter(close & one_edit(F.col("word"), F.col("old_word")))
-    found = met.select(F.lit("n").alias("kind"), F.col("node").alias("node_a"), F.col("old_node").alias("node_b"), F.col("old_turn").alias("turn_b"), "at")
+    turn = F.lit(None).cast(store.schema["turn"].dataType).alias("turn_b")
+    found = met.select(F.lit("n").alias("kind"), F.col("node").alias("node_a"), F.col("old_node").alias("node_b"), turn, "at")
     # New cut ends seek beginnings, and new beginnings seek the cut ends that were waiting for them.
     begun, none = store.opened("h", last).select("batch", "node", "turn", "key", "word"), F.lit(None).cast("int").alias("at")
     ends = store.opened("c", last).select("batch", "key", F.col("node").alias("node_a"), F.col("word").alias("end"))
